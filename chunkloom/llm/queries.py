@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chunkloom.llm.decontaminate import leaks
+from chunkloom.llm.mixing import mix
 from chunkloom.llm.simhash_dedup import simhash_classes
 from chunkloom.llm.substring_dedup import substring_dedup
 
@@ -15,6 +17,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return leaks(_documents(spark, sf_dir), items).select("doc_id", "item_id", "item_shingles", "shared", "containment")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(_documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("spans").alias("n_spans"))
@@ -25,7 +32,13 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken", "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_simhash_dedup": op8_simhash_dedup,
+    "op9_cube_mixing": op9_cube_mixing,
 }
