@@ -8,15 +8,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkloom.llm.decontaminate import leaks
+from chunkloom.llm import pii as personal
+from chunkloom.llm import secrets as secret
 from chunkloom.llm.mixing import mix
 from chunkloom.llm.simhash_dedup import simhash_classes
 from chunkloom.llm.substring_dedup import substring_dedup
+from chunkloom.llm.toxicity import fold, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret.secrets(_documents(spark, sf_dir))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret.KINDS]
+    return out.select("doc_id", *counts, "base_sha256", secret.span_text(F.col("base"), F.col("random")).alias("spans"), F.size("random").alias("n_random"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = personal.pii(_documents(spark, sf_dir))
+    base = ("email", "ip", "card", "phone")
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in personal.KINDS]
+    digest = F.sha2(personal.span_text(*map(F.col, base)), 256).alias("base_sha256")
+    best = F.array_max(F.transform(F.concat(*personal.KINDS), lambda s: s["score"])).alias("best_score")
+    return out.select("doc_id", *counts, digest, personal.span_text(*map(F.col, personal.KINDS)).alias("spans"), best)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    out = toxicity(docs, labels.filter(fold(F.col("doc_id")) != 0))
+    held = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out")
+    return out.select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_sentences", F.size("offending").alias("n_offending"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return leaks(_documents(spark, sf_dir), items).select("doc_id", "item_id", "item_shingles", "shared", "containment")
@@ -37,6 +62,9 @@ def op9_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_scan": op2_secret_scan,
+    "op3_pii": op3_pii,
+    "op4_toxicity": op4_toxicity,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_simhash_dedup": op8_simhash_dedup,
