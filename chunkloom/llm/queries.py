@@ -11,6 +11,7 @@ from chunkloom.llm.decontaminate import leaks
 from chunkloom.llm import pii as personal
 from chunkloom.llm import secrets as secret
 from chunkloom.llm.mixing import mix
+from chunkloom.llm.quality import quality
 from chunkloom.llm.simhash_dedup import simhash_classes
 from chunkloom.llm.substring_dedup import substring_dedup
 from chunkloom.llm.toxicity import fold, toxicity
@@ -61,7 +62,15 @@ def op9_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken", "copies")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    out = quality(_documents(spark, sf_dir), names)
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return out.select("doc_id", *names, failed.alias("base_failed"), "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_quality_rules": op10_quality_rules,
     "op2_secret_scan": op2_secret_scan,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
