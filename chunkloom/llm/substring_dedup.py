@@ -5,10 +5,12 @@
 same place, so a repeat always shows as an anchor that occurs twice.  Documents are joined on
 anchors; an anchor that occurs once ends there.
 
-*Extend.*  Around each repeated anchor, both ways, every window of ``min_words`` words that holds it
-is named by two independent 64-bit hashes.  A window that occurs twice is a repeat.  Counting windows
-extends all pairs of occurrences at once: a passage with a million copies costs a million rows, not
-its square, and counts are partly summed before the shuffle.
+*Extend.*  To the right, an anchor carries a hash of the ``2 * min_words`` words from it on; where that
+occurs twice as well, all windows in between are repeats; one occurrence of each such group stands for
+the others below, so that copies of long texts need no more rows than they have anchors.  Around the other repeated anchors, both ways, every window of ``min_words`` words
+that holds one is named by two independent 64-bit hashes; a window that occurs twice is a repeat.
+Counting extends all pairs of occurrences at once: a passage with a million copies costs a million
+rows, not its square, and counts are partly summed before the shuffle.
 
 *Keep maximal repeats.*  Overlapping and touching repeated windows of a document merge into maximal
 spans, which are removed.
@@ -27,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm._store import keyed, materialize, release, same_doc
+from chunkloom.llm._store import discard, keyed, materialize, release, same_doc
 from chunkloom.llm._words import words
 
 MIN_WORDS = 35
-SEED_WORDS = 20
+SEED_WORDS = 12
 
 
 def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
@@ -60,12 +62,20 @@ def _seeds(batches: Iterator[pa.RecordBatch], min_words: int, seed_words: int) -
     for b in batches:
         ids, th = b.column("doc_id"), b.column("th")
         for w in words(b.column("text")):
-            at, h = w.windows(w.hashes(), seed_words)
+            hashes = w.hashes()
+            at, h = w.windows(hashes, seed_words)
             j = anchors(at, h, w.doc, min_words - seed_words + 1)
-            rows = pa.array(w.start_row + w.doc[at[j]])
+            at, h = at[j], h[j]
+            far, g = w.windows(hashes, 2 * min_words, second=True)
+            ahead = np.searchsorted(far, at)
+            found = ahead < len(far)
+            found[found] = far[ahead[found]] == at[found]
+            long = np.zeros(len(at), np.uint64)
+            long[found] = g[ahead[found]]
+            rows = pa.array(w.start_row + w.doc[at])
             yield pa.record_batch(
-                [ids.take(rows), th.take(rows), pa.array(w.position()[at[j]].astype(np.int32)), pa.array(h[j].view(np.int64))],
-                names=["doc_id", "th", "pos", "h"],
+                [ids.take(rows), th.take(rows), pa.array(w.position()[at].astype(np.int32)), pa.array(h.view(np.int64)), pa.array(long.view(np.int64), mask=~found)],
+                names=["doc_id", "th", "pos", "h", "g"],
             )
 
 
@@ -85,10 +95,14 @@ def _covered(doc: np.ndarray, pos: np.ndarray, first: np.ndarray, counts: np.nda
 
 def _extensions(batches: Iterator[pa.RecordBatch], min_words: int, seed_words: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        ids, th, seeds = b.column("doc_id"), b.column("th"), b.column("seeds")
+        ids, th, seeds, skip, stand = (b.column(c) for c in ("doc_id", "th", "seeds", "skip", "stand"))
         for w in words(b.column("text")):
             doc, pos = _lists(seeds, w.start_row, w.n_docs)
             near = _covered(doc, pos, w.first, w.counts(), min_words - seed_words, 0)
+            doc, pos = _lists(skip, w.start_row, w.n_docs)
+            near &= ~_covered(doc, pos, w.first, w.counts(), 0, min_words)
+            doc, pos = _lists(stand, w.start_row, w.n_docs)
+            near |= _covered(doc, pos, w.first, w.counts(), 0, min_words)
             hashes = w.hashes()
             at, h1 = w.windows(hashes, min_words)
             h2 = w.windows(hashes, min_words, second=True)[1]
@@ -102,10 +116,12 @@ def _extensions(batches: Iterator[pa.RecordBatch], min_words: int, seed_words: i
 
 def _cut(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        hits = b.column("hits")
+        hits, long = b.column("hits"), b.column("long")
         for w in words(b.column("text")):
             doc, pos = _lists(hits, w.start_row, w.n_docs)
             gone = _covered(doc, pos, w.first, w.counts(), 0, min_words - 1)
+            doc, pos = _lists(long, w.start_row, w.n_docs)
+            gone |= _covered(doc, pos, w.first, w.counts(), 0, 2 * min_words - 1)
             kept = np.flatnonzero(~gone)
             lengths = w.ends[kept] - w.starts[kept] + 1
             stops = np.cumsum(lengths)
@@ -141,17 +157,40 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, seed_words: int
     if not 1 <= seed_words <= min_words:
         raise ValueError("seed_words must lie between 1 and min_words")
     spark, source = docs.sparkSession, keyed(docs)
-    seeds = materialize(source.mapInArrow(lambda it: _seeds(it, min_words, seed_words), "doc_id long, th long, pos int, h long"), "seeds")
+    seeds = source.mapInArrow(lambda it: _seeds(it, min_words, seed_words), "doc_id long, th long, pos int, h long, g long")
+    seeds = materialize(seeds, "seeds")
     repeated = seeds.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    per_doc = seeds.join(repeated, "h", "left_semi").groupBy("doc_id", "th").agg(F.collect_list("pos").alias("seeds"))
-    held = source.join(per_doc, same_doc(source, per_doc)).select(source["doc_id"], source["th"], "text", "seeds")
-    windows = materialize(held.mapInArrow(lambda it: _extensions(it, min_words, seed_words), "doc_id long, th long, pos int, h1 long, h2 long"), "windows")
-    del held, per_doc, repeated, seeds
+    pairs = materialize(seeds.join(repeated, "h", "left_semi"), "repeated")
+    discard(seeds)
+    own = F.xxhash64("doc_id", "th")
+    twice = pairs.filter("g is not null").groupBy("h", "g").agg(F.count("*").alias("n"), F.min(own).alias("stands")).filter("n > 1").drop("n")
+    both = pairs.join(twice, ["h", "g"], "left").withColumn("own", own)
+    per_doc = both.groupBy("doc_id", "th").agg(
+        F.collect_list("pos").alias("seeds"),
+        F.collect_list(F.when(F.col("stands") != F.col("own"), F.col("pos"))).alias("skip"),
+        F.collect_list(F.when(F.col("stands") == F.col("own"), F.col("pos"))).alias("stand"),
+    )
+    per_doc = materialize(per_doc, "anchors")
+    discard(pairs)
+    del seeds, pairs, repeated, twice, both
+    release(spark)
+    held = source.join(per_doc, same_doc(source, per_doc)).select(source["doc_id"], source["th"], "text", "seeds", "skip", "stand")
+    windows = held.mapInArrow(lambda it: _extensions(it, min_words, seed_words), "doc_id long, th long, pos int, h1 long, h2 long")
+    windows = materialize(windows, "windows")
+    del held
     release(spark)
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2")
     hits = windows.join(twice, ["h1", "h2"], "left_semi").groupBy("doc_id", "th").agg(F.collect_set("pos").alias("hits"))
+    long = per_doc.select("doc_id", "th", F.concat("skip", "stand").alias("long")).filter(F.size("long") > 0)
+    marks = hits.join(long, same_doc(hits, long), "full").select(
+        F.coalesce(hits["doc_id"], long["doc_id"]).alias("doc_id"), F.coalesce(hits["th"], long["th"]).alias("th"), "hits", "long"
+    )
+    marks = materialize(marks, "marks")
+    discard(windows, per_doc)
+    del windows, twice, hits
+    release(spark)
     source = keyed(docs)
-    joined = source.join(hits, same_doc(source, hits), "left").select(source["doc_id"], source["th"], "text", "hits")
+    joined = source.join(marks, same_doc(source, marks), "left").select(source["doc_id"], source["th"], "text", "hits", "long")
     return joined.mapInArrow(
         lambda it: _cut(it, min_words),
         "doc_id long, th long, n_words long, n_removed long, kept_text string, spans array<struct<start:int,end:int>>",
