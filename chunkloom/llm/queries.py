@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkloom.llm.decontaminate import leaks
 from chunkloom.llm import pii as personal
 from chunkloom.llm import secrets as secret
+from chunkloom.llm.decontaminate import leaks
+from chunkloom.llm.line_dedup import line_dedup
 from chunkloom.llm.mixing import mix
 from chunkloom.llm.quality import quality
 from chunkloom.llm.simhash_dedup import simhash_classes
@@ -21,6 +22,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup(_documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret.secrets(_documents(spark, sf_dir))
     counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret.KINDS]
@@ -70,6 +76,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op2_secret_scan": op2_secret_scan,
     "op3_pii": op3_pii,
