@@ -15,6 +15,7 @@ from chunkloom.llm.mixing import mix
 from chunkloom.llm.quality import quality
 from chunkloom.llm.simhash_dedup import simhash_classes
 from chunkloom.llm.substring_dedup import substring_dedup
+from chunkloom.llm.suffix_model import suffix_scores
 from chunkloom.llm.toxicity import fold, toxicity
 
 
@@ -54,6 +55,12 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return leaks(_documents(spark, sf_dir), items).select("doc_id", "item_id", "item_shingles", "shared", "containment")
 
 
+def op6_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_scores(_documents(spark, sf_dir), fold(F.col("doc_id")) != 1)
+    held = F.coalesce(fold(F.col("doc_id")) == 1, F.lit(False)).alias("held_out")
+    return out.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(_documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("spans").alias("n_spans"))
@@ -82,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_suffix_tree_scores": op6_suffix_tree_scores,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_cube_mixing": op9_cube_mixing,
