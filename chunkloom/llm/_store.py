@@ -70,3 +70,15 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def same_doc(a: DataFrame, b: DataFrame):
     """Null-safe equality on the key of :func:`keyed`."""
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["th"] == b["th"])
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` and all other columns in one struct, so that no operator's output clashes with them."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *rest).alias("_rest"))
+
+
+def unpacked(df: DataFrame, docs: DataFrame, **instead) -> DataFrame:
+    """The columns of ``docs`` from rows of :func:`packed`; ``instead`` gives new values by name."""
+    own = {c: F.col(c) if c in ("doc_id", "text") else F.col(f"_rest.`{c}`") for c in docs.columns}
+    return df.select(*[instead.get(c, v).alias(c) for c, v in own.items()])

@@ -22,7 +22,7 @@ those that match are decided, and take no part as the later side afterwards.
 
 Defined cases: null text is one empty line; lines without words are kept; rows equal in id and text are
 one document; null ids come last; documents with equal ids are ordered by a hash of their texts; other
-columns are ignored; an empty table gives an empty result.
+columns are kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -194,7 +194,11 @@ def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def line_dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``n_lines, n_removed, kept_text``; kept lines are joined by ``\\n``."""
+    """``docs`` with ``n_lines, n_removed, kept_text``; kept lines are joined by ``\\n``.
+
+    Columns of ``docs`` with these three names are replaced.
+    """
+    docs = docs.drop("n_lines", "n_removed", "kept_text")
     source = keyed(docs)
     gone = later_lines(source, threshold).withColumnRenamed("gone", "_gone")
     gone = materialize(gone, "gone").withColumnsRenamed({"doc_id": "_id", "th": "_th"})
@@ -210,4 +214,4 @@ def line_dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     stops = F.concat(gaps, F.array(size))
     kept = F.flatten(F.zip_with(starts, stops, lambda a, b: F.slice("_lines", a + 1, b - a)))
     out = both.withColumns({"n_lines": size.cast("long"), "n_removed": F.size(gaps).cast("long"), "kept_text": F.array_join(kept, "\n")})
-    return out.select(*docs.columns, "n_lines", "n_removed", "kept_text")
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "n_lines", "n_removed", "kept_text")

@@ -45,7 +45,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    out = toxicity(docs, labels.filter(fold(F.col("doc_id")) != 0))
+    out = toxicity(docs.select("doc_id", "text"), labels.filter(fold(F.col("doc_id")) != 0))
     held = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out")
     return out.select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_sentences", F.size("offending").alias("n_offending"))
 

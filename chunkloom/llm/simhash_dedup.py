@@ -209,7 +209,7 @@ def near_pairs(points: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def simhash_classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``doc_id, th, fp, component_id`` of each row of ``docs(doc_id, text)``."""
+    """``doc_id, th, fp, component_id, root`` of each row of ``docs(doc_id, text)``; root, the least fingerprint of a class, names it."""
     spark = docs.sparkSession
     prints = keyed(docs).mapInArrow(lambda it: _fingerprint_batches(it, shingle, seed), "doc_id long, th long, fp long")
     prints = materialize(prints, "fingerprints")
@@ -219,6 +219,6 @@ def simhash_classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     roots = components(edges).withColumnRenamed("node", "fp")
     members = materialize(roots.join(points, "fp"), "members")
     least = materialize(members.groupBy("root").agg(F.min("first").alias("least")), "least")
-    linked = members.join(least, "root").select("fp", "least")
-    named = materialize(points.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "named")
-    return prints.join(named, "fp").select("doc_id", "th", "fp", "component_id")
+    linked = members.join(least, "root").select("fp", "root", "least")
+    named = points.join(linked, "fp", "left").select("fp", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    return prints.join(materialize(named, "named"), "fp").select("doc_id", "th", "fp", "component_id", "root")

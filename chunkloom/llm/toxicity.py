@@ -17,7 +17,7 @@ at most.
 
 Defined cases: null and empty texts have no sentence and score 0; a null id is scored and not held
 out; labels that are null are ignored, of contradicting ones the toxic one counts; repeated rows are
-scored alike; other columns are ignored; an empty table gives an empty result.  Without labels of
+scored alike; other columns are kept; an empty table gives an empty result.  Without labels of
 both classes every score is 0.
 """
 
@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from chunkloom.llm._store import materialize
 
@@ -205,7 +206,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[flo
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``docs`` with ``score double, n_sentences int, offending array<struct<start,end,p>>``, learnt from ``labels(doc_id, toxic)``."""
+    """``docs`` with ``score double, n_sentences int, offending array<struct<start,end,p>>``, learnt from ``labels(doc_id, toxic)``.
+
+    Columns of ``docs`` with these three names are replaced.
+    """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample))
-    schema = docs.select("doc_id", "text").schema.simpleString()[7:-1]
-    return docs.select("doc_id", "text").mapInArrow(lambda it: _score(it, model), schema + ",score:double,n_sentences:int,offending:array<struct<start:int,end:int,p:double>>")
+    rows = docs.drop("score", "n_sentences", "offending")
+    schema = StructType(rows.schema.fields + StructType.fromDDL("score double, n_sentences int, offending array<struct<start:int,end:int,p:double>>").fields)
+    return rows.mapInArrow(lambda it: _score(it, model), schema)
