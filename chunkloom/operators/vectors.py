@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 Embedder = Callable[[list[str]], np.ndarray]
 
@@ -53,7 +54,7 @@ def dense_vectors(texts: DataFrame, embed: Embedder, size: int, batch: int = 16,
 
     Provider errors are tried again where their message shows a limit or a server fault.
     """
-    schema = texts.schema.add("vector", "array<float>").add("embed_ok", "boolean")
+    schema = StructType(texts.schema.fields + StructType.fromDDL("vector array<float>, embed_ok boolean").fields)
 
     def vectors(part: list[str]) -> tuple[np.ndarray, bool]:
         for _ in range(attempts):
