@@ -12,7 +12,7 @@ JOB = "job_id string, user_id string, object_key string"
 
 def text_folder(spark: SparkSession, path: str, user_id: str = "local") -> DataFrame:
     """``user_id, doc_id, source, markdown`` of the text files below a folder; the file name is the id."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    rows = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     name = F.col("_metadata.file_name")
     return rows.select(F.lit(user_id).alias("user_id"), name.alias("doc_id"), name.alias("source"), F.col("value").alias("markdown"))
 
