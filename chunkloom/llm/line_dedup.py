@@ -33,32 +33,38 @@ from pyspark.sql import functions as F
 from chunkloom.llm._store import discard, keyed, materialize, release, same_doc
 
 THRESHOLD = 0.8
-RARITY_BITS = 20
-HOT_COUNT = 64
+RARITY_BITS = 21
+MARK_BITS = 17
+HOT_COUNT = 256
 WORD_GAP = r"[\x20\x09-\x0D]+"
-_CELL = 256
+_CELL = 1024
 _STEPS = 3  # rarity steps per doubling of the count
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(line, WORD_GAP), "")
+    """The words of a text; other gaps become spaces first where there are any, as one-letter splits need no regular expression."""
+    other = [F.contains(line, F.lit(c)) for c in "\t\v\f\r\n"]
+    odd = other[0]
+    for c in other[1:]:
+        odd = odd | c
+    return F.array_remove(F.split(F.when(odd, F.regexp_replace(line, WORD_GAP, " ")).otherwise(line), " "), "")
 
 
-def _bucket(hashed: Column) -> Column:
-    return F.shiftrightunsigned(hashed, 64 - RARITY_BITS).cast("int")
+def _bucket(hashed: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(hashed, 64 - bits).cast("int")
 
 
 def rarity_table(docs: DataFrame) -> bytes:
     """For each bucket of word hashes, 1 + ``_STEPS`` * log2 of its number of words, 0 if none."""
-    counts = docs.select(F.explode(F.split("text", WORD_GAP)).alias("w")).filter("w <> ''").groupBy(_bucket(F.xxhash64("w")).alias("b")).count()
+    counts = docs.select(F.explode(_words(F.col("text"))).alias("w")).groupBy(_bucket(F.xxhash64("w"), RARITY_BITS).alias("b")).count()
     level = F.least(F.lit(126), 1 + F.floor(_STEPS * F.log2("count"))).cast("int")
-    return _collected(counts.select("b", level.alias("v")))
+    return _collected(counts.select("b", level.alias("v")), RARITY_BITS)
 
 
-def _collected(cells: DataFrame) -> bytes:
-    """A table of ``1 << RARITY_BITS`` bytes from rows ``(b, v)``, joined to strings on the executors."""
+def _collected(cells: DataFrame, bits: int) -> bytes:
+    """A table of ``1 << bits`` bytes from rows ``(b, v)``, joined to strings on the executors."""
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("b", "v"))), lambda e: F.concat_ws(":", (e["b"] % _CELL).cast("string"), e["v"].cast("string"))), ",")
-    table = bytearray(1 << RARITY_BITS)
+    table = bytearray(1 << bits)
     for row in cells.groupBy(F.floor(F.col("b") / _CELL).cast("int").alias("cell")).agg(text.alias("entries")).collect():
         for entry in row.entries.split(","):
             i, v = entry.split(":")
@@ -86,15 +92,16 @@ def _signed_lines(docs: DataFrame, table: bytes, threshold: float) -> DataFrame:
     """One row per line with words: its document and number, hashes, size, prefix and parities."""
     lines = docs.select("doc_id", "th", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
-    def key(w: Column) -> Column:
-        h = F.xxhash64(w)
-        return F.shiftleft(_lookup(table, _bucket(h)).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
+    def key(h: Column) -> Column:
+        return F.shiftleft(_lookup(table, _bucket(h, RARITY_BITS)).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
     def parity(shift: int) -> Column:
         bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(k, shift).bitwiseAND(F.lit(63)).cast("int"))
         return F.aggregate("sig", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k)))
 
-    lines = lines.withColumn("sig", F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), key)))).filter(F.size("sig") > 0)
+    lines = lines.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))  # not by the size of what follows, or that would be computed twice
+    lines = lines.withColumn("hashes", F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))))
+    lines = lines.withColumn("sig", F.sort_array(F.transform("hashes", key)))
     n = F.size("sig")
     return lines.select(
         "doc_id",
@@ -136,9 +143,9 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold:
     late = F.col("px") > F.col("py")
     named = materialize(named.select(F.when(late, F.col("x")).otherwise(F.col("y")).alias("late"), "lx", "ly"), "pairs")
     wanted = materialize(named.select(F.explode(F.array("lx", "ly")).alias("lh")).distinct(), "wanted")
-    marked = _collected(wanted.select(_bucket(F.col("lh")).alias("b"), F.lit(1).alias("v")).distinct())
+    marked = _collected(wanted.select(_bucket(F.col("lh"), MARK_BITS).alias("b"), F.lit(1).alias("v")).distinct(), MARK_BITS)
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select("line", F.xxhash64("line").alias("lh"))
-    lines = lines.filter(_lookup(marked, _bucket(F.col("lh"))) == 1).join(wanted, "lh", "left_semi").groupBy("lh").agg(F.first("line").alias("line"))
+    lines = lines.filter(_lookup(marked, _bucket(F.col("lh"), MARK_BITS)) == 1).join(wanted, "lh", "left_semi").groupBy("lh").agg(F.first("line").alias("line"))
     texts = materialize(lines.select("lh", F.array_distinct(_words(F.col("line"))).alias("words")), "texts")
     both = named.join(texts.select(F.col("lh").alias("lx"), F.col("words").alias("wx")), "lx").join(texts.select(F.col("lh").alias("ly"), F.col("words").alias("wy")), "ly")
     shared = F.size(F.array_intersect("wx", "wy"))
@@ -157,18 +164,23 @@ def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     classes = lines.groupBy("s1", "s2").agg(F.min("pos").alias("pos"), *firsts).withColumn("id", F.col("s1").bitwiseXOR(F.shiftleft("s2", 1)))
     classes = materialize(classes, "classes")
     release(spark)
+    slim = materialize(lines.select("doc_id", "th", "pos", "line_no", "s1", "s2"), "slim")
+    discard(lines)
     rows = classes.select("id", "n", "p1", "p2", F.posexplode("prefix").alias("i", "w"))
     level = 1 + int(_STEPS * (HOT_COUNT.bit_length() - 1))
     hot = F.shiftright("w", 56) >= level
-    cold_rows, hot_rows = rows.filter(~hot), rows.filter(hot)
+    # half of the hash is enough to meet on: what else meets is not verified; words that occur once meet nothing
+    cold_rows = rows.filter(~hot & (F.shiftright("w", 56) > 1)).withColumn("w", F.expr("cast(w & 2147483647 as int)"))
     pairs = cold_rows.alias("a").join(cold_rows.alias("b"), _meet("a", "b", threshold)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
     pairs = materialize(pairs.distinct(), "cold")
+    del rows, cold_rows
     release(spark)
     placed = classes.select("id", "pos", "n", "p1", "p2", F.explode("prefix").alias("w")).filter(hot)
     lead = materialize(placed.groupBy("w", "n").agg(F.min("pos").alias("lead")), "lead")
-    led = placed.join(lead, ["w", "n"]).filter("pos > lead").select("id", "lead").distinct()
+    led = materialize(placed.join(lead, ["w", "n"]).filter("pos > lead").select("id", "lead").distinct(), "led")
+    release(spark)
     leaders = classes.select(F.col("pos").alias("lead"), F.col("id").alias("y"), "n", "p1", "p2").alias("b")
-    led = materialize(led, "led").join(leaders, "lead").alias("b").join(classes.select(F.col("id"), "n", "p1", "p2").alias("a"), "id")
+    led = led.join(leaders, "lead").alias("b").join(classes.select(F.col("id"), "n", "p1", "p2").alias("a"), "id")
     led = led.filter(_may_match("a", "b", threshold)).select(F.col("id").alias("x"), "y")
     pairs = pairs.union(materialize(led, "ledpairs"))
     decided = _verified(docs, classes, pairs, threshold)
@@ -186,10 +198,10 @@ def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         decided = decided.union(_verified(docs, classes, more, threshold)).distinct()
     late = materialize(decided.withColumn("late", F.lit(True)), "decided")
     firsts = materialize(classes.select("s1", "s2", "id", "pos").join(late, "id", "left").select("s1", "s2", F.col("pos").alias("first"), "late"), "firsts")
-    discard(classes, hot_rows, open_)
+    discard(classes, hot_rows, open_, more, lead)
     release(spark)
     gone = F.coalesce(F.col("late"), F.lit(False)) | (F.col("pos") > F.col("first"))
-    flags = lines.join(firsts, ["s1", "s2"]).select("doc_id", "th", F.struct("line_no", gone.alias("gone")).alias("f"))
+    flags = slim.join(firsts, ["s1", "s2"]).select("doc_id", "th", F.struct("line_no", gone.alias("gone")).alias("f"))
     return flags.filter("f.gone").groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("f.line_no")).alias("gone"))
 
 
