@@ -85,6 +85,30 @@ _ORDERS = """o AS (SELECT o_custkey AS id, o_orderkey, o_orderstatus FROM orders
 old AS (SELECT * FROM o WHERE o_orderstatus = 'F' QUALIFY row_number() OVER (PARTITION BY id ORDER BY o_orderkey DESC) = 1),
 new AS (SELECT * FROM o WHERE o_orderstatus = 'O' QUALIFY row_number() OVER (PARTITION BY id ORDER BY o_orderkey DESC) = 1)"""
 
+_OPEN = f"""win2 AS (
+  SELECT doc_id, 0 AS window_index, 0 AS start, length(markdown) AS "end", {_TOK.format("markdown")} AS token_count, false AS oversized FROM md WHERE {_TOK.format("markdown")} <= 300
+  UNION ALL SELECT win.* FROM win JOIN md USING (doc_id) WHERE {_TOK.format("markdown")} > 300),
+hd AS (SELECT doc_id, start, s AS title, {_LEVEL.format("s")} AS level FROM l WHERE {_HEAD}),
+live AS (SELECT w.doc_id, w.window_index, h.level, h.title FROM win2 w JOIN hd h ON h.doc_id = w.doc_id AND h.start < w.start
+  WHERE NOT EXISTS (SELECT 1 FROM hd k WHERE k.doc_id = w.doc_id AND k.start > h.start AND k.start < w.start AND k.level <= h.level)),
+paths AS (SELECT doc_id, window_index, string_agg({_strip("ltrim(title, '#')")}, '>' ORDER BY level) AS path FROM live GROUP BY ALL)"""
+_OFFERED = f"""{_BLOCKS}, o0 AS (SELECT bt.doc_id, attempt, block_no AS chunk_index, start, "end", type, (CAST(bt.doc_id AS BIGINT) + attempt) % 7 AS f FROM bt, range(1, 4) AS t(attempt)),
+o1 AS (SELECT doc_id, attempt, chunk_index, start, CASE WHEN f = 3 AND chunk_index = 1 THEN "end" + 5 WHEN f = 4 AND chunk_index = 0 THEN start + 1 ELSE "end" END AS e,
+  CASE WHEN f = 2 AND chunk_index = 0 THEN 'list' ELSE type END AS kind FROM o0 WHERE f > 1),
+o2 AS (SELECT o1.*, markdown, e <= length(markdown) AND start < e AS inside, substr(markdown, CAST(start + 1 AS BIGINT), CAST(e - start AS BIGINT)) AS own FROM o1 JOIN md USING (doc_id)),
+o3 AS (SELECT doc_id, attempt, chunk_index, kind, inside, markdown,
+  CASE WHEN inside AND {_strip("own")} <> '' THEN start + length(own) - length(ltrim(own, {_WS})) ELSE start END AS s2,
+  CASE WHEN inside AND {_strip("own")} <> '' THEN e - length(own) + length(rtrim(own, {_WS})) ELSE e END AS e2 FROM o2),
+o4 AS (SELECT *, lag(e2) OVER w > s2 AS overlap, CASE WHEN lead(s2) OVER w - e2 BETWEEN 1 AND 3 THEN lead(s2) OVER w ELSE e2 END AS e3 FROM o3 WINDOW w AS (PARTITION BY doc_id, attempt ORDER BY s2, e2, chunk_index)),
+o5 AS (SELECT *, inside AND ceil(length(substr(markdown, CAST(s2 + 1 AS BIGINT), CAST(e3 - s2 AS BIGINT))) / 4.0) > 165 AS large FROM o4),
+o6 AS (SELECT doc_id, attempt, markdown, coalesce(lag(e3) OVER (PARTITION BY doc_id, attempt ORDER BY s2, e2, chunk_index), 0) AS a, s2 AS b FROM o5 WHERE inside
+  UNION ALL SELECT doc_id, attempt, markdown, max(e3), length(markdown) FROM o5 WHERE inside GROUP BY ALL),
+holes AS (SELECT DISTINCT doc_id, attempt FROM o6 WHERE a < b AND {_strip("substr(markdown, CAST(a + 1 AS BIGINT), CAST(b - a AS BIGINT))")} <> ''),
+per AS (SELECT doc_id, attempt, max(kind NOT IN ('text','code','table')) AS k, max(NOT inside) AS r, coalesce(max(overlap), false) AS o, max(large) AS g FROM o5 GROUP BY doc_id, attempt),
+verdict AS (SELECT per.doc_id, per.attempt, CASE WHEN k OR r THEN concat_ws(',', CASE WHEN k THEN 'bad type' END, CASE WHEN r THEN 'bad range' END) WHEN o THEN 'overlap'
+    ELSE concat_ws(',', CASE WHEN holes.doc_id IS NOT NULL THEN 'uncovered' END, CASE WHEN g THEN 'too large' END) END AS reasons FROM per LEFT JOIN holes USING (doc_id, attempt)
+  UNION ALL SELECT DISTINCT doc_id, attempt, CASE WHEN f = 0 THEN 'bad json' ELSE 'missing chunks' END FROM o0 WHERE f <= 1)"""
+
 ORACLE: dict[str, str] = {
     "lines": f'WITH {_LINES} SELECT doc_id, line_no, start, "end", length(line) AS size FROM l',
     "headings": f"WITH {_LINES} SELECT doc_id, line_no, start, s AS title, {_LEVEL.format('s')} AS level FROM l WHERE {_HEAD}",
@@ -101,6 +125,11 @@ named AS (SELECT live.doc_id, live.ord, string_agg(lastid.id||'='||{_strip("ltri
 SELECT r.doc_id, r.ord, coalesce(path, '') AS path FROM r LEFT JOIN named USING (doc_id, ord)""",
     "blocks": f'WITH {_BLOCKS} SELECT doc_id, block_no, start, "end", type, tokens FROM bt',
     "window_packing": f"{_WINDOWS} SELECT * FROM win",
+    "leading_paths": f"""{_WINDOWS}, {_OPEN} SELECT win2.*, coalesce(path, '') AS path FROM win2 LEFT JOIN paths USING (doc_id, window_index)""",
+    "validation": f"WITH {_OFFERED} SELECT doc_id, CAST(attempt AS INTEGER) AS attempt, reasons = '' AS is_valid, reasons FROM verdict",
+    "gap_snap": f'WITH {_OFFERED} SELECT doc_id, CAST(attempt AS INTEGER) AS attempt, chunk_index, CAST(s2 AS BIGINT) AS start, CAST(e3 AS BIGINT) AS "end", kind AS chunk_type FROM o5',
+    "first_valid_attempt": f"WITH {_OFFERED} SELECT doc_id, 0 AS window_index, CAST(min(attempt) AS INTEGER) AS attempt FROM verdict WHERE reasons = '' GROUP BY doc_id",
+    "fallback_windows": f"WITH {_OFFERED} SELECT doc_id, 0 AS window_index FROM md WHERE doc_id NOT IN (SELECT doc_id FROM verdict WHERE reasons = '')",
     "sentence_pack": f"""WITH RECURSIVE s0 AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 s1 AS (SELECT doc_id, text, string_split(regexp_replace({_strip("text")}, '([.?!])\\s+', '\\1'||chr(1), 'g'), chr(1)) AS sent FROM s0),
 s2 AS (SELECT doc_id, {_SENTENCES.format(_strip("x"))} AS items FROM s1),
