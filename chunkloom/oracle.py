@@ -109,6 +109,49 @@ verdict AS (SELECT per.doc_id, per.attempt, CASE WHEN k OR r THEN concat_ws(',',
     ELSE concat_ws(',', CASE WHEN holes.doc_id IS NOT NULL THEN 'uncovered' END, CASE WHEN g THEN 'too large' END) END AS reasons FROM per LEFT JOIN holes USING (doc_id, attempt)
   UNION ALL SELECT DISTINCT doc_id, attempt, CASE WHEN f = 0 THEN 'bad json' ELSE 'missing chunks' END FROM o0 WHERE f <= 1)"""
 
+_PARAGRAPHS = f"""WITH RECURSIVE {_LINES}, n0 AS (SELECT *, s = '' AS blank, starts_with(s, '```') AS fence FROM l),
+p0 AS (
+  SELECT doc_id, -1 AS line_no, false AS inside, false AS fenced, 0 AS pid, NULL::INTEGER AS own FROM md
+  UNION ALL
+  SELECT n0.doc_id, n0.line_no,
+    CASE WHEN p0.inside AND p0.fenced AND fence THEN false WHEN (NOT p0.inside OR (NOT p0.fenced AND (blank OR fence))) THEN NOT blank ELSE p0.inside END,
+    CASE WHEN p0.inside AND p0.fenced AND fence THEN false WHEN (NOT p0.inside OR (NOT p0.fenced AND (blank OR fence))) THEN fence AND NOT blank ELSE p0.fenced END,
+    p0.pid + CASE WHEN NOT (p0.inside AND p0.fenced) AND (NOT p0.inside OR blank OR fence) AND NOT blank THEN 1 ELSE 0 END,
+    CASE WHEN NOT (p0.inside AND p0.fenced) AND (NOT p0.inside OR blank OR fence) THEN CASE WHEN blank THEN NULL ELSE p0.pid + 1 END ELSE p0.pid END
+  FROM p0 JOIN n0 ON n0.doc_id = p0.doc_id AND n0.line_no = p0.line_no + 1),
+q0 AS (SELECT n0.*, own, row_number() OVER (PARTITION BY n0.doc_id ORDER BY n0.line_no) AS j FROM p0 JOIN n0 ON n0.doc_id = p0.doc_id AND n0.line_no = p0.line_no WHERE own IS NOT NULL),
+q1 AS (SELECT doc_id, own, max("end") - min(start) > 1200 AND NOT (min_by(fence, line_no) OR 2 * count(*) FILTER (starts_with(s, '|')) >= count(*) FILTER (NOT blank)) AS long FROM q0 GROUP BY doc_id, own),
+q2 AS (SELECT q0.*, long FROM q0 JOIN q1 USING (doc_id, own)),
+c0 AS (
+  SELECT doc_id, j, own, start AS from_, 0 AS piece FROM q2 WHERE j = 1
+  UNION ALL
+  SELECT q2.doc_id, q2.j, q2.own, CASE WHEN q2.own <> c0.own OR (q2.long AND q2."end" - c0.from_ > 1200) THEN q2.start ELSE c0.from_ END,
+    c0.piece + CASE WHEN q2.own <> c0.own OR (q2.long AND q2."end" - c0.from_ > 1200) THEN 1 ELSE 0 END
+  FROM c0 JOIN q2 ON q2.doc_id = c0.doc_id AND q2.j = c0.j + 1),
+d0 AS (SELECT c0.doc_id, piece, min(q2.start) AS a, max(q2."end") AS b, min_by(fence, q2.line_no) OR (2 * count(*) FILTER (starts_with(s, '|')) >= count(*) FILTER (NOT blank) AND count(*) FILTER (NOT blank) > 0) AS atomic
+  FROM c0 JOIN q2 ON q2.doc_id = c0.doc_id AND q2.j = c0.j GROUP BY c0.doc_id, piece),
+e0 AS (
+  SELECT doc_id, piece, a AS from_, b AS to_, atomic, 0 AS grp FROM d0 WHERE piece = 0
+  UNION ALL
+  SELECT d0.doc_id, d0.piece, CASE WHEN NOT d0.atomic AND NOT e0.atomic AND e0.to_ - e0.from_ < 400 AND d0.b - e0.from_ <= 1200 THEN e0.from_ ELSE d0.a END, d0.b,
+    d0.atomic, e0.grp + CASE WHEN NOT d0.atomic AND NOT e0.atomic AND e0.to_ - e0.from_ < 400 AND d0.b - e0.from_ <= 1200 THEN 0 ELSE 1 END
+  FROM e0 JOIN d0 ON d0.doc_id = e0.doc_id AND d0.piece = e0.piece + 1),
+g0 AS (SELECT doc_id, grp, min(from_) AS a, max(to_) AS b, max(atomic) AS atomic FROM e0 GROUP BY doc_id, grp),
+g1 AS (SELECT *, lead(grp) OVER w IS NULL AND lag(grp) OVER w IS NOT NULL AND b - a < 400 AND NOT atomic AND NOT lag(atomic) OVER w AND b - lag(a) OVER w <= 1200 AS joins FROM g0 WINDOW w AS (PARTITION BY doc_id ORDER BY grp)),
+para AS (SELECT doc_id, CAST(grp - CASE WHEN joins THEN 1 ELSE 0 END AS INTEGER) AS paragraph_id, min(a) AS start, max(b) AS "end" FROM g1 GROUP BY ALL)"""
+_RULE = _MERGE.replace(_TYPED, _TYPED.replace("typed AS (", "typed0 AS (") + f""", ov AS (SELECT *, {_strip("ltrim(coalesce(title,''), '#')")} AS prefix FROM typed0),
+ov1 AS (SELECT *, ceil(length(prefix||chr(10)||content) / 4.0) > 150 AND chunk_type <> 'code' AS over_ FROM ov),
+ov2 AS (SELECT *, string_split(regexp_replace({_strip("content")}, '([.?!])\\s+', '\\1'||chr(1), 'g'), chr(1)) AS sent FROM ov1 WHERE over_ AND chunk_type = 'text'),
+ov3 AS (SELECT doc_id, ord, prefix, CASE WHEN len(sent) <= 1 THEN list_filter(string_split(content, chr(10)), lambda x: {_strip("x")} <> '') ELSE sent END AS items FROM ov2),
+sp AS (SELECT doc_id, ord, prefix, items, 0 AS i, CAST([] AS VARCHAR[]) AS done, '' AS now FROM ov3
+  UNION ALL
+  SELECT doc_id, ord, prefix, items, i + 1, CASE WHEN fits OR now = '' THEN done ELSE list_append(done, now) END, CASE WHEN fits THEN joined ELSE items[i + 1] END
+  FROM (SELECT *, CASE WHEN now <> '' THEN {_strip("now||' '||items[i + 1]")} ELSE items[i + 1] END AS joined,
+    ceil(length(prefix||chr(10)||CASE WHEN now <> '' THEN {_strip("now||' '||items[i + 1]")} ELSE items[i + 1] END) / 4.0) <= 150 AS fits FROM sp WHERE i < len(items))),
+sp1 AS (SELECT doc_id, ord, CASE WHEN now <> '' THEN list_append(done, now) ELSE done END AS p FROM sp WHERE i = len(items)),
+pieces AS (SELECT ov1.doc_id, ov1.ord, title, level, chunk_type, unnest(coalesce(p, [content])) AS content, unnest(range(len(coalesce(p, [content])))) AS j FROM ov1 LEFT JOIN sp1 USING (doc_id, ord)),
+typed AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY ord, j) - 1 AS INTEGER) AS ord, title, level, chunk_type, content FROM pieces)""")
+
 ORACLE: dict[str, str] = {
     "lines": f'WITH {_LINES} SELECT doc_id, line_no, start, "end", length(line) AS size FROM l',
     "headings": f"WITH {_LINES} SELECT doc_id, line_no, start, s AS title, {_LEVEL.format('s')} AS level FROM l WHERE {_HEAD}",
@@ -148,6 +191,14 @@ step AS (SELECT c_nationkey, rows_, 0 AS i, 0 AS n, CAST([] AS VARCHAR[]) AS don
   FROM (SELECT *, ceil(length('customers'||chr(10)||now||chr(10)||rows_[i + 1]) / 4.0) <= 120 AS fits FROM step WHERE i < len(rows_)))
 SELECT c_nationkey, CAST(len(done) + 1 AS INTEGER) AS n_pieces, md5(array_to_string(list_append(done, now), '#')) AS digest FROM step WHERE i = len(rows_)""",
     "run_merge": f"""{_MERGE} SELECT m1.doc_id, CAST(part AS INTEGER) AS ord, min(title) AS title, min(level) AS level, min(chunk_type) AS chunk_type, md5(string_agg(content, '' ORDER BY m1.ord)) AS digest FROM m1 JOIN fold ON fold.doc_id = m1.doc_id AND fold.ord = m1.ord GROUP BY m1.doc_id, part""",
+    "rule_chunks": f"""{_RULE} SELECT m1.doc_id, CAST(part AS INTEGER) AS ord, min(title) AS title, min(level) AS level, min(chunk_type) AS chunk_type, md5(string_agg(content, '' ORDER BY m1.ord)) AS digest FROM m1 JOIN fold ON fold.doc_id = m1.doc_id AND fold.ord = m1.ord GROUP BY m1.doc_id, part""",
+    "paragraph_spans": f'{_PARAGRAPHS} SELECT doc_id, paragraph_id, start, "end" FROM para',
+    "proposal_offsets": f"""{_PARAGRAPHS}, pr AS (SELECT doc_id, CAST(paragraph_id // 2 AS INTEGER) AS chunk_index, min(paragraph_id) AS a, max(paragraph_id) AS b, CAST(doc_id AS BIGINT) % 5 AS k FROM para GROUP BY ALL),
+rg AS (SELECT doc_id, chunk_index, CASE WHEN k = 1 AND chunk_index = 1 THEN a + 1 WHEN k = 2 AND chunk_index = 1 THEN a - 1 ELSE a END AS a, CASE WHEN k = 3 AND chunk_index = 0 THEN b + 1000 ELSE b END AS b FROM pr),
+ex AS (SELECT *, coalesce(lag(b) OVER w, -1) + 1 AS x, lead(b) OVER w IS NULL AS fin, (SELECT max(paragraph_id) FROM para WHERE para.doc_id = rg.doc_id) AS last_ FROM rg WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_index)),
+rs AS (SELECT *, CASE WHEN a < 0 OR b > last_ THEN 'out of range' WHEN a > b THEN 'start after end' WHEN a > x THEN 'gap' WHEN a < x THEN 'overlap' WHEN fin AND b <> last_ THEN 'short tail' END AS reason FROM ex),
+er AS (SELECT doc_id, min_by(reason, chunk_index) FILTER (reason IS NOT NULL) AS error FROM rs GROUP BY doc_id)
+SELECT rs.doc_id, rs.chunk_index, s.start, e."end", error FROM rs JOIN er USING (doc_id) LEFT JOIN para s ON s.doc_id = rs.doc_id AND s.paragraph_id = rs.a LEFT JOIN para e ON e.doc_id = rs.doc_id AND e.paragraph_id = rs.b""",
     "payload_defaults": f"WITH {_IDS} SELECT chunk_id, chunk_type AS primary_type, chunk_type = 'text' AS has_text, chunk_type = 'code' AS has_code, chunk_type = 'table' AS has_table, true AS no_group, '' AS summary FROM c",
     "retry_routing": "SELECT event_id, contains(lower(concat_ws(' ', event_type, props)), 'rate') OR regexp_matches(concat_ws(' ', event_type, props), '429|500|503') AS retry FROM events",
     "sparse_bm25": """WITH t AS (SELECT doc_id AS id, unnest(list_filter(string_split_regex(lower(coalesce(text,'')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS term FROM documents),
