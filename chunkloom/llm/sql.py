@@ -16,6 +16,17 @@ def _windows(w: str, k: int) -> str:
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
+    "op1_line_dedup": f"""WITH ln AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+w AS (SELECT doc_id, i, line, doc_id * 1000000 + i AS pos, list_sort(list_distinct({_words("line")})) AS k FROM ln),
+sets AS (SELECT k, len(k) AS n, min(pos) AS first FROM w WHERE len(k) > 0 GROUP BY k),
+tok AS (SELECT first AS id, n, unnest(k) AS t FROM sets),
+df AS (SELECT t, count(*) AS c FROM tok GROUP BY t),
+pre AS (SELECT id, n, t FROM tok JOIN df USING (t) QUALIFY row_number() OVER (PARTITION BY id ORDER BY c, t) <= n - ceil(0.8 * n - 1e-9) + 1),
+cand AS (SELECT DISTINCT a.id AS x, b.id AS y FROM pre a JOIN pre b USING (t) WHERE a.id > b.id AND a.n >= 0.8 * b.n - 1e-9 AND b.n >= 0.8 * a.n - 1e-9),
+late AS (SELECT DISTINCT x FROM cand JOIN sets a ON a.first = x JOIN sets b ON b.first = y
+  WHERE len(list_intersect(a.k, b.k)) >= 0.8 * (a.n + b.n - len(list_intersect(a.k, b.k))) - 1e-9),
+g AS (SELECT w.*, coalesce(pos > first OR first IN (SELECT x FROM late), false) AS gone FROM w LEFT JOIN sets USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM g GROUP BY doc_id""",
     "op5_benchmark_decontamination": f"""WITH d AS (SELECT doc_id, {_words(_LOWER.format("text"))} AS w FROM documents),
 b AS (SELECT item_id, {_words(_LOWER.format("text"))} AS w FROM benchmark),
 i AS (SELECT DISTINCT item_id, unnest({_windows("w", 5)}) AS g FROM b),
