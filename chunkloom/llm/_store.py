@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,10 +53,13 @@ def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of plans that nothing refers to any more.
 
     Spark's cleaner acts when the driver's garbage is collected; a long driver program with a small
-    heap may not collect for half an hour, while finished shuffles fill the executors' disks.
+    heap may not collect for half an hour, while finished shuffles fill the executors' disks.  A second
+    round follows, as the first only frees what Python's references held on to.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

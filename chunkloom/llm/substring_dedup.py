@@ -160,10 +160,13 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, seed_words: int
     seeds = source.mapInArrow(lambda it: _seeds(it, min_words, seed_words), "doc_id long, th long, pos int, h long, g long")
     seeds = materialize(seeds, "seeds")
     repeated = seeds.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    repeated = materialize(repeated, "repeats")  # a table, so that Spark can split a hot anchor's rows in the join
+    release(spark)
     pairs = materialize(seeds.join(repeated, "h", "left_semi"), "repeated")
-    discard(seeds)
+    discard(seeds, repeated)
     own = F.xxhash64("doc_id", "th")
     twice = pairs.filter("g is not null").groupBy("h", "g").agg(F.count("*").alias("n"), F.min(own).alias("stands")).filter("n > 1").drop("n")
+    twice = materialize(twice, "long")
     both = pairs.join(twice, ["h", "g"], "left").withColumn("own", own)
     per_doc = both.groupBy("doc_id", "th").agg(
         F.collect_list("pos").alias("seeds"),
@@ -171,7 +174,7 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, seed_words: int
         F.collect_list(F.when(F.col("stands") == F.col("own"), F.col("pos"))).alias("stand"),
     )
     per_doc = materialize(per_doc, "anchors")
-    discard(pairs)
+    discard(pairs, twice)
     del seeds, pairs, repeated, twice, both
     release(spark)
     held = source.join(per_doc, same_doc(source, per_doc)).select(source["doc_id"], source["th"], "text", "seeds", "skip", "stand")
@@ -180,13 +183,15 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, seed_words: int
     del held
     release(spark)
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2")
+    twice = materialize(twice, "windows2")
+    release(spark)
     hits = windows.join(twice, ["h1", "h2"], "left_semi").groupBy("doc_id", "th").agg(F.collect_set("pos").alias("hits"))
     long = per_doc.select("doc_id", "th", F.concat("skip", "stand").alias("long")).filter(F.size("long") > 0)
     marks = hits.join(long, same_doc(hits, long), "full").select(
         F.coalesce(hits["doc_id"], long["doc_id"]).alias("doc_id"), F.coalesce(hits["th"], long["th"]).alias("th"), "hits", "long"
     )
     marks = materialize(marks, "marks")
-    discard(windows, per_doc)
+    discard(windows, per_doc, twice)
     del windows, twice, hits
     release(spark)
     source = keyed(docs)
