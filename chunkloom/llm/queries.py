@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkloom.llm import pii as personal
@@ -30,8 +30,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret.secrets(_documents(spark, sf_dir))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret.KINDS]
-    return out.select("doc_id", *counts, "base_sha256", secret.span_text(F.col("base"), F.col("random")).alias("spans"), F.size("random").alias("n_random"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return out.select("doc_id", *map(count, secret.KINDS), "base_sha256", secret.span_text(F.col("base"), F.col("random")).alias("spans"), F.size("random").alias("n_random"))
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
