@@ -16,7 +16,7 @@ shorter's first n - ceil(2t/(1+t) n) + 1).  In the join condition stand the leng
 filter, and a bound on the symmetric difference: the parities of word hashes in two 64-bit words differ
 in no more bits than the sets differ in words.  What passes is verified on the words themselves.
 
-*Hot words.*  Where a prefix word is frequent (``HOT_COUNT``), variants of one line would meet as all
+*Hot words.*  Where a prefix word is frequent (``HOT_COUNT``, above the mean load of buckets), variants of one line would meet as all
 pairs.  Classes with such words are first compared with the first class of the same word and size only;
 those that match are decided, and take no part as the later side afterwards.
 
@@ -27,15 +27,18 @@ columns are kept; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from math import log2
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkloom.llm._store import discard, keyed, materialize, release, same_doc
 
 THRESHOLD = 0.8
-RARITY_BITS = 21
+RARITY_BITS = 20
 MARK_BITS = 17
 HOT_COUNT = 256
+HOT_LOADS = 4
 WORD_GAP = r"[\x20\x09-\x0D]+"
 _CELL = 1024
 _STEPS = 3  # rarity steps per doubling of the count
@@ -72,6 +75,12 @@ def _collected(cells: DataFrame, bits: int) -> bytes:
     return bytes(table)
 
 
+def _hot_level(table: bytes) -> int:
+    """The rarity from which a bucket points to a frequent word: ``HOT_COUNT`` words beyond ``HOT_LOADS`` mean loads."""
+    mean = sum(2 ** ((v - 1) / _STEPS) for v in table if v) / len(table)
+    return 1 + int(_STEPS * log2(HOT_COUNT + HOT_LOADS * mean))
+
+
 def _lookup(table: bytes, index: Column) -> Column:
     """The byte (0..127) of a table at an index from 0."""
     return F.ascii(F.substring(F.lit(table), index + 1, F.lit(1)).cast("string"))
@@ -158,7 +167,9 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold:
 def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, th, removed``: for each document of ``docs(doc_id, th, text)`` with words, ``removed`` flags of its lines that have words, as (line_no, flag)."""
     spark = docs.sparkSession
-    lines = materialize(_signed_lines(docs, rarity_table(docs), threshold).withColumn("pos", _position(F.col("doc_id"), F.col("th"), F.col("line_no"))), "lines")
+    table = rarity_table(docs)
+    level = _hot_level(table)
+    lines = materialize(_signed_lines(docs, table, threshold).withColumn("pos", _position(F.col("doc_id"), F.col("th"), F.col("line_no"))), "lines")
     release(spark)
     firsts = [F.first(c).alias(c) for c in ("lh", "n", "prefix", "p1", "p2")]
     classes = lines.groupBy("s1", "s2").agg(F.min("pos").alias("pos"), *firsts).withColumn("id", F.col("s1").bitwiseXOR(F.shiftleft("s2", 1)))
@@ -167,7 +178,6 @@ def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     slim = materialize(lines.select("doc_id", "th", "pos", "line_no", "s1", "s2"), "slim")
     discard(lines)
     rows = classes.select("id", "n", "p1", "p2", F.posexplode("prefix").alias("i", "w"))
-    level = 1 + int(_STEPS * (HOT_COUNT.bit_length() - 1))
     hot = F.shiftright("w", 56) >= level
     # half of the hash is enough to meet on: what else meets is not verified; words that occur once meet nothing
     cold_rows = rows.filter(~hot & (F.shiftright("w", 56) > 1)).withColumn("w", F.expr("cast(w & 2147483647 as int)"))

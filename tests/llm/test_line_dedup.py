@@ -26,6 +26,7 @@ def brute(rows, t=0.8):
 @pytest.mark.parametrize("hot", [2, 64])
 def test_against_brute_force(docs, monkeypatch, hot):
     monkeypatch.setattr(m, "HOT_COUNT", hot)
+    monkeypatch.setattr(m, "HOT_LOADS", 0)
     rng = random.Random(11)
     bases = [[rng.choice("abcdefgé") + str(rng.randrange(60)) for _ in range(rng.randrange(1, 70))] for _ in range(12)]
     rows = []
