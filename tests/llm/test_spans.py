@@ -82,3 +82,15 @@ def test_limits_are_benjamini_hochberg_by_band():
 
 def test_empty_tables(docs):
     assert pii.pii(docs([])).collect() == [] and secrets.secrets(docs([])).collect() == []
+
+
+def test_random_keys_in_runs_of_mixed_alphabets(docs):
+    rng = random.Random(5)
+    key = lambda e, n: "".join(rng.choice(secrets.ALPHABETS[e]) for _ in range(n))
+    rows = [(i, "see /reset-link/" + "x" + key("base64url", 38) + "7") for i in range(60)]
+    rows += [(100 + i, "id-of_" + "x" + key("base64", 46) + "7") for i in range(60)]
+    rows += [(200 + i, f"/blog/{i}/a-title-of-some-plain-words/and_other_words") for i in range(60)]
+    out = {r.doc_id: [(x.start, x.end) for x in r.random] for r in secrets.secrets(docs(rows)).collect()}
+    assert sum(out[i] == [(16, 56)] for i in range(60)) >= 54
+    assert sum(bool(out[100 + i]) for i in range(60)) >= 54
+    assert not any(out[200 + i] for i in range(60))
