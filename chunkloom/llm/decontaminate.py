@@ -3,12 +3,13 @@
 An item leaks into a document if at least ``threshold`` of its distinct ``shingle``-word sequences
 occur there.
 
-*MinHash, partitioned by size.*  Items fall into partitions by their number n of shingles.  The
-MinHash sketch of an item is its k smallest shingle hashes, k = n - ceil(threshold * n) + 1 fixed for
-its partition: a document that holds ``threshold`` of the item's shingles lacks at most k - 1, so it
-holds one of the sketch at least, and no leak is missed however long the document is.  (Sketching the
-long side as well, as for Jaccard similarity, would miss nearly all: a 30-shingle item in a document
-of 20,000 agrees with it on one MinHash in 700.)  Documents are probed with all their shingles.
+*Bottom-k filter.*  It takes the place of MinHash with items partitioned by size; nothing is
+partitioned here.  The sketch of an item of n shingles is its k smallest shingle hashes,
+k = n - ceil(threshold * n) + 1: a document that holds ``threshold`` of the item's shingles lacks at
+most k - 1, so it holds one of the sketch at least, and no leak is missed however long the document is.
+(Sketching the long side as well, as for Jaccard similarity, would miss nearly all: a 30-shingle item
+in a document of 20,000 agrees with it on one MinHash in 700.)  Documents are probed with all their
+shingles.
 
 *Two ways to probe.*  While the sketches fit ``SKETCH_BYTES``, they go to the executors and the texts
 are read once, without a shuffle; beyond it, documents' and items' shingle hashes are joined.
