@@ -43,7 +43,11 @@ def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate class: that of least id, of equal ids that of least text hash."""
+    """Keeps one document of each near-duplicate class: that of least id, of equal ids that of least text hash.
+
+    The classes are op8's: shingles of 4 words, at most 4 bits apart.  Near copies below a similarity of about
+    0.95 are often further apart and stay (see the README).
+    """
     classes = simhash_classes(docs)
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
     keep = classes.groupBy("root").agg(F.min(rank).alias("r")).select("r.none", "r.doc_id", "r.th")
