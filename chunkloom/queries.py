@@ -16,7 +16,8 @@ from chunkloom.operators import links, messages, packing, paragraphs, proposals,
 from chunkloom.plans.ingest import ingest, linked_chunks
 from chunkloom.sources import files, sinks
 from chunkloom.sources.corpus import md_corpus
-from chunkloom.sources.shared import stored
+from chunkloom.sources.shared import fresh, stored
+from chunkloom.streaming import jobs
 
 #: Small budgets, so that every branch is taken on the test tables.
 SMALL = Settings(150, 30, 40, 400, 300, 64)
@@ -179,6 +180,16 @@ def points(spark, sf):
     return out.select("collection", "id", "payload.doc_id", "payload.chunk_type", "payload.token_count", "payload.has_table")
 
 
+def job_stream(spark, sf):
+    """The points of ``points``, ingested from a stream of one job message for each document."""
+    md, folder = stored(_md(spark, sf)), fresh(spark, "jobs")
+    named = md.filter("doc_id is not null").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("job_id"), "user_id", F.col("doc_id").alias("object_key"))
+    named.repartition(4, "job_id").write.json(f"{folder}/messages")
+    jobs.run_jobs(jobs.job_stream(spark, f"{folder}/messages"), md, lambda rows: ingest(rows, use=SMALL), f"{folder}/out", f"{folder}/checkpoint")
+    out = spark.read.parquet(f"{folder}/out/points")
+    return out.select("collection", "id", "payload.doc_id", "payload.chunk_type", "payload.token_count", "payload.has_table")
+
+
 def payload_defaults(spark, sf):
     rows = sinks.with_payload_defaults(_blocks_with_ids(spark, sf))
     return rows.select("chunk_id", "primary_type", "has_text", "has_code", "has_table", F.col("split_group_id").isNull().alias("no_group"), "summary")
@@ -246,7 +257,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         lines, headings, sections, typed_blocks, sentence_pack, table_pack, run_merge, rule_chunks, chunk_ids, seq_links, siblings, parents, title_paths, blocks,
-        window_packing, leading_paths, paragraph_spans, validation, gap_snap, first_valid_attempt, fallback_windows, proposal_offsets, assembled_chunks, points, payload_defaults,
+        window_packing, leading_paths, paragraph_spans, validation, gap_snap, first_valid_attempt, fallback_windows, proposal_offsets, assembled_chunks, points, job_stream, payload_defaults,
         retry_routing, sparse_bm25, dense_vectors, topk_cosine, upsert_latest, log_insert, log_replace, upsert_batches, message_split, html_markdown, input_guards,
     )
 }

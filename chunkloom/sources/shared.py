@@ -10,16 +10,21 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet, and a reader of it."""
-    spark = df.sparkSession
+def fresh(spark: SparkSession, kind: str) -> str:
+    """The path of a new folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="chunkloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet, and a reader of it."""
+    spark = df.sparkSession
+    path = fresh(spark, "tables")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,6 +1,7 @@
 """Written invariants and edge cases of the engine."""
 
 import json
+import os
 import uuid
 
 import pytest
@@ -11,8 +12,10 @@ from chunkloom.functions import text as T
 from chunkloom.operators import assembly, messages, packing, paragraphs, proposals, structure, vectors, windows
 from chunkloom.operators.splitter import rule_split
 from chunkloom.plans.ingest import ingest, linked_chunks, rejected
+from chunkloom.queries import QUERIES
 from chunkloom.sources import files, sinks
 from chunkloom.streaming.jobs import Heartbeat, job_stream, run_jobs
+from tests.conftest import SF
 
 FENCE = "```"
 
@@ -224,3 +227,9 @@ def test_job_stream(spark, md, tmp_path):
     spark.streams.removeListener(beat)
     assert rows(spark.read.parquet(str(tmp_path / "out" / "status")), "job_id", "status") == [("j0", "done"), ("j1", "done"), ("j2", "failed")]
     assert rows(spark.read.parquet(str(tmp_path / "out" / "points")), "id") == rows(ingest(documents), "id")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_streamed_points_equal_batch_points(spark):
+    columns = ("collection", "id", "doc_id", "chunk_type", "token_count", "has_table")
+    assert rows(QUERIES["job_stream"](spark, SF), *columns) == rows(QUERIES["points"](spark, SF), *columns)
