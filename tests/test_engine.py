@@ -7,6 +7,8 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+import bench
 from chunkloom.config import Settings, settings
 from chunkloom.functions import text as T
 from chunkloom.operators import assembly, messages, packing, paragraphs, proposals, structure, vectors, windows
@@ -233,3 +235,8 @@ def test_job_stream(spark, md, tmp_path):
 def test_streamed_points_equal_batch_points(spark):
     columns = ("collection", "id", "doc_id", "chunk_type", "token_count", "has_table")
     assert rows(QUERIES["job_stream"](spark, SF), *columns) == rows(QUERIES["points"](spark, SF), *columns)
+
+
+def test_bench_times_every_query():
+    assert bench.chosen(entry.queries(), set()) == list(entry.queries())
+    assert bench.chosen(entry.queries(), {"points"}) == ["points"]
