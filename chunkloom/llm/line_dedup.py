@@ -6,19 +6,26 @@ functions.
 
 *Rarity.*  Word counts over all lines are kept per bucket of word hashes: ``1 << RARITY_BITS`` bytes that
 hold the logarithm of the count, whatever the corpus size.  A word's key is (rarity, hash), so a sorted
-array of keys is the line in order of rarity.
+array of keys is the line in order of rarity.  Any order is exact; the table decides only how many lines meet.
 
 *Classes.*  Lines with equal sets collapse to one class with its first position before anything is
 joined; a line repeated in a third of all documents is one row from there on.
 
 *Join.*  Classes meet on the words of their prefixes (the longer set's first n - ceil(t n) + 1 words, the
 shorter's first n - ceil(2t/(1+t) n) + 1).  In the join condition stand the length filter, the positional
-filter, and a bound on the symmetric difference: the parities of word hashes in two 64-bit words differ
-in no more bits than the sets differ in words.  What passes is verified on the words themselves.
+filter, and a bound on the symmetric difference: the parities of word hashes in a 64-bit word differ
+in no more bits than the sets differ in words.  Of each later class the nearest candidate is verified on
+the words themselves first, and the others only where that one fails.
 
 *Hot words.*  Where a prefix word is frequent (``HOT_COUNT``, above the mean load of buckets), variants of one line would meet as all
 pairs.  Classes with such words are first compared with the first class of the same word and size only;
-those that match are decided, and take no part as the later side afterwards.
+those that match are decided, and take no part as the later side afterwards.  The rest meet on pairs of
+frequent words: two different matching sets share two words, and the first two they share stand within
+the prefix of one word more.  (Lines of over ``PAIR_WORDS`` words meet on single words, as their pairs
+would be too many.)
+
+Classes are known by 128-bit hashes of their words' 56-bit hashes, and by 64 bits of those in joins: among
+N classes two share an id with a chance of about N * N / 2**65 (3e-7 for 2 million, 3% for 10**9).
 
 Defined cases: null text is one empty line; lines without words are kept; rows equal in id and text are
 one document; null ids come last; documents with equal ids are ordered by a hash of their texts; other
@@ -32,11 +39,12 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm._store import discard, keyed, materialize, release, same_doc
+from chunkloom.llm._store import discard, keyed, materialize, release
 
 THRESHOLD = 0.8
-RARITY_BITS = 20
-MARK_BITS = 17
+RARITY_BITS = 18
+MARK_BITS = 16
+PAIR_WORDS = 64
 HOT_COUNT = 256
 HOT_LOADS = 4
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -97,122 +105,165 @@ def _position(doc_id: Column, th: Column, line_no: Column) -> Column:
     return ((doc + F.pmod(th, F.lit(10**9))).cast("decimal(28,0)") * F.lit(10**10).cast("decimal(11,0)") + line_no).cast(whole)
 
 
-def _signed_lines(docs: DataFrame, table: bytes, threshold: float) -> DataFrame:
-    """One row per line with words: its document and number, hashes, size, prefix and parities."""
+def _signed_lines(docs: DataFrame, table: bytes, level: int, threshold: float) -> DataFrame:
+    """One row per line with words: its document and number, hashes, size, parities, and the words of its prefix.
+
+    ``cold`` holds 31 bits of the prefix words below the rarity ``level``, ``hot`` the keys of the others, one word
+    beyond the prefix included; ``at`` is the place of the first of ``hot``.
+    """
     lines = docs.select("doc_id", "th", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
     def key(h: Column) -> Column:
         return F.shiftleft(_lookup(table, _bucket(h, RARITY_BITS)).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
-    def parity(shift: int) -> Column:
-        bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(k, shift).bitwiseAND(F.lit(63)).cast("int"))
-        return F.aggregate("sig", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k)))
+    def bit(k: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
 
     lines = lines.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))  # not by the size of what follows, or that would be computed twice
     lines = lines.withColumn("hashes", F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))))
     lines = lines.withColumn("sig", F.sort_array(F.transform("hashes", key)))
-    n = F.size("sig")
+    lines = lines.withColumn("n", F.size("sig")).withColumn("head", F.slice("sig", F.lit(1), _prefix(F.col("n"), threshold) + 1))
+    frequent = lambda k: F.shiftright(k, 56) >= level
+    lines = lines.withColumn("hot", F.filter("head", frequent))
+    cold = F.slice("head", F.lit(1), F.least(_prefix(F.col("n"), threshold), F.size("head") - F.size("hot")))
     return lines.select(
         "doc_id",
         "th",
         "line_no",
         F.xxhash64("line").alias("lh"),
-        n.alias("n"),
+        "n",
         F.xxhash64("sig").alias("s1"),
         F.xxhash64(F.lit(7), "sig").alias("s2"),
-        F.slice("sig", F.lit(1), _prefix(n, threshold)).alias("prefix"),
-        parity(0).alias("p1"),
-        F.when(n > 48, parity(6)).otherwise(F.lit(0).cast("long")).alias("p2"),
+        F.transform(cold, lambda k: k.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("cold"),
+        "hot",
+        (F.size("head") - F.size("hot")).alias("at"),
+        F.aggregate("sig", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k))).alias("p"),
     )
 
 
 def _may_match(a: str, b: str, threshold: float) -> Column:
-    """Length filter and parity bound of two classes ``(n, p1, p2)``, a not larger than b."""
+    """Length filter and parity bound of two classes ``(n, p)``, a not larger than b."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     apart = F.floor((na + nb) * ((1 - threshold) / (1 + threshold)) + 1e-9)
-    bits = lambda p: F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}")))
-    both = (na > 48) & (nb > 48)
-    return (na >= threshold * nb - 1e-9) & (bits("p1") <= apart) & (~both | (bits("p2") <= apart))
+    return (na >= threshold * nb - 1e-9) & (_distance(a, b) <= apart)
+
+
+def _distance(a: str, b: str) -> Column:
+    return F.bit_count(F.col(f"{a}.p").bitwiseXOR(F.col(f"{b}.p")))
 
 
-def _meet(a: str, b: str, threshold: float) -> Column:
-    """All filters for rows ``(w, i, n, p1, p2)`` of two classes that share the prefix word, a the smaller."""
+def _meet(a: str, b: str, threshold: float, second: bool = False) -> Column:
+    """All filters for rows ``(w, i, n, p)`` of two classes that share the key, a the smaller; with ``second``, ``j`` is the place of a second shared word."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     overlap = F.ceil((na + nb) * (threshold / (1 + threshold)) - 1e-9)
     place = (na - F.col(f"{a}.i") >= overlap) & (nb - F.col(f"{b}.i") >= overlap)
+    if second:
+        place = place & (na - F.col(f"{a}.j") >= overlap - 1) & (nb - F.col(f"{b}.j") >= overlap - 1)
     order = (na < nb) | ((na == nb) & (F.col(f"{a}.id") < F.col(f"{b}.id")))
     return (F.col(f"{a}.w") == F.col(f"{b}.w")) & order & place & _may_match(a, b, threshold)
 
 
+def _candidates(a: DataFrame, b: DataFrame, on: Column) -> DataFrame:
+    return a.alias("a").join(b.alias("b"), on).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"), _distance("a", "b").alias("d"))
+
+
+def _similar(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """Ids ``late`` of ``pairs(late, ll, le)``, hashes of a later and an earlier line, whose words match."""
+    wanted = materialize(pairs.select(F.explode(F.array("ll", "le")).alias("lh")).distinct(), "wanted")
+    marked = _collected(wanted.select(_bucket(F.col("lh"), MARK_BITS).alias("b"), F.lit(1).alias("v")).distinct(), MARK_BITS)
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select("line", F.xxhash64("line").alias("lh"))
+    lines = lines.filter(_lookup(marked, _bucket(F.col("lh"), MARK_BITS)) == 1).join(wanted, "lh", "left_semi").groupBy("lh").agg(F.first("line").alias("line"))
+    texts = materialize(lines, "texts")
+    # whole lines travel, their words are split after the joins: an array of strings takes three times the room
+    both = pairs.join(texts.select(F.col("lh").alias("ll"), F.col("line").alias("a")), "ll").join(texts.select(F.col("lh").alias("le"), F.col("line").alias("b")), "le")
+    both = both.select("late", F.array_distinct(_words(F.col("a"))).alias("a"), F.array_distinct(_words(F.col("b"))).alias("b"))
+    both = both.select("late", F.size("a").alias("na"), F.size("b").alias("nb"), F.size(F.array_intersect("a", "b")).alias("shared"))
+    found = both.filter(F.col("shared") >= threshold * (F.col("na") + F.col("nb") - F.col("shared")) - 1e-9).select("late").distinct()
+    found = materialize(found, "similar")
+    discard(wanted, texts)
+    release(docs.sparkSession)
+    return found
+
+
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Ids of later classes among ``pairs(x, y)`` of class ids that match their earlier class on the words."""
+    """Ids of later classes among ``pairs(x, y, d)`` of class ids that match an earlier class on the words."""
     ends = classes.select("id", "pos", "lh")
     named = pairs.join(ends.select(F.col("id").alias("x"), F.col("pos").alias("px"), F.col("lh").alias("lx")), "x")
     named = named.join(ends.select(F.col("id").alias("y"), F.col("pos").alias("py"), F.col("lh").alias("ly")), "y")
-    late = F.col("px") > F.col("py")
-    named = materialize(named.select(F.when(late, F.col("x")).otherwise(F.col("y")).alias("late"), "lx", "ly"), "pairs")
-    wanted = materialize(named.select(F.explode(F.array("lx", "ly")).alias("lh")).distinct(), "wanted")
-    marked = _collected(wanted.select(_bucket(F.col("lh"), MARK_BITS).alias("b"), F.lit(1).alias("v")).distinct(), MARK_BITS)
-    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select("line", F.xxhash64("line").alias("lh"))
-    lines = lines.filter(_lookup(marked, _bucket(F.col("lh"), MARK_BITS)) == 1).join(wanted, "lh", "left_semi").groupBy("lh").agg(F.first("line").alias("line"))
-    texts = materialize(lines.select("lh", F.array_distinct(_words(F.col("line"))).alias("words")), "texts")
-    both = named.join(texts.select(F.col("lh").alias("lx"), F.col("words").alias("wx")), "lx").join(texts.select(F.col("lh").alias("ly"), F.col("words").alias("wy")), "ly")
-    shared = F.size(F.array_intersect("wx", "wy"))
-    found = both.filter(shared >= threshold * (F.size("wx") + F.size("wy") - shared) - 1e-9).select(F.col("late").alias("id")).distinct()
-    found = materialize(found, "late")
-    discard(named, wanted, texts)
+    swap = F.col("px") > F.col("py")
+    pick = lambda a, b: F.when(swap, F.col(a)).otherwise(F.col(b))
+    named = named.select(pick("x", "y").alias("late"), pick("lx", "ly").alias("ll"), pick("ly", "lx").alias("le"), "d")
+    named = materialize(named, "named")
+    nearest = named.groupBy("late").agg(F.min(F.struct("d", "le", "ll")).alias("e")).select("late", "e.ll", "e.le")
+    nearest = materialize(nearest, "nearest")
+    found = _similar(docs, nearest, threshold)
+    others = named.join(nearest.join(found, "late", "left_anti").select("late", F.col("le").alias("tried")), "late").filter("le <> tried")
+    others = materialize(others.select("late", "ll", "le"), "others")
+    if not others.isEmpty():
+        found = found.union(_similar(docs, others, threshold)).distinct()
+    discard(named, nearest, others)
     return found
 
 
+def _hot_keys(classes: DataFrame, threshold: float) -> DataFrame:
+    """Rows ``(w, i, j, id, pos, n, p)`` on which classes with frequent words meet: pairs of those words, or single ones of long lines."""
+    own = ["id", "pos", "n", "p"]
+    rows = classes.select(*own, "at", "hot", F.posexplode("hot").alias("k", "u"))
+    pairs = rows.filter(F.col("n") <= PAIR_WORDS).select(*own, (F.col("at") + F.col("k")).alias("i"), "u", "at", F.posexplode("hot").alias("l", "v"))
+    pairs = pairs.withColumn("j", F.col("at") + F.col("l")).filter("j > i").select(F.xxhash64("u", "v").alias("w"), "i", "j", *own)
+    single = rows.filter(F.col("n") >= threshold * PAIR_WORDS).withColumn("i", F.col("at") + F.col("k")).filter(F.col("i") < _prefix(F.col("n"), threshold))
+    return pairs.union(single.select(F.col("u").alias("w"), "i", F.lit(-1).alias("j"), *own))
+
+
 def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, th, removed``: for each document of ``docs(doc_id, th, text)`` with words, ``removed`` flags of its lines that have words, as (line_no, flag)."""
+    """``doc_id, th, gone``: for each document of ``docs(doc_id, th, text)`` that loses lines, their numbers in order."""
+    if not 0.5 < threshold <= 1:
+        raise ValueError("threshold must be above 0.5")
     spark = docs.sparkSession
     table = rarity_table(docs)
-    level = _hot_level(table)
-    lines = materialize(_signed_lines(docs, table, threshold).withColumn("pos", _position(F.col("doc_id"), F.col("th"), F.col("line_no"))), "lines")
+    lines = materialize(_signed_lines(docs, table, _hot_level(table), threshold), "lines")
+    del table
     release(spark)
-    firsts = [F.first(c).alias(c) for c in ("lh", "n", "prefix", "p1", "p2")]
-    classes = lines.groupBy("s1", "s2").agg(F.min("pos").alias("pos"), *firsts).withColumn("id", F.col("s1").bitwiseXOR(F.shiftleft("s2", 1)))
-    classes = materialize(classes, "classes")
+    position = _position(F.col("doc_id"), F.col("th"), F.col("line_no"))
+    firsts = [F.first(c).alias(c) for c in ("lh", "n", "cold", "hot", "at", "p")]
+    classes = lines.groupBy("s1", "s2").agg(F.min(position).alias("pos"), F.count("*").alias("copies"), *firsts)
+    classes = materialize(classes.withColumn("id", F.col("s1").bitwiseXOR(F.shiftleft("s2", 1))), "classes")
     release(spark)
-    slim = materialize(lines.select("doc_id", "th", "pos", "line_no", "s1", "s2"), "slim")
-    discard(lines)
-    rows = classes.select("id", "n", "p1", "p2", F.posexplode("prefix").alias("i", "w"))
-    hot = F.shiftright("w", 56) >= level
-    # half of the hash is enough to meet on: what else meets is not verified; words that occur once meet nothing
-    cold_rows = rows.filter(~hot & (F.shiftright("w", 56) > 1)).withColumn("w", F.expr("cast(w & 2147483647 as int)"))
-    pairs = cold_rows.alias("a").join(cold_rows.alias("b"), _meet("a", "b", threshold)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
-    pairs = materialize(pairs.distinct(), "cold")
-    del rows, cold_rows
+    # half of the hash is enough to meet on: what else meets is not verified
+    rows = classes.select("id", F.struct("n", "p").alias("c"), F.posexplode("cold").alias("i", "w")).select("w", "id", "c.n", "i", "c.p")
+    pairs = materialize(_candidates(rows, rows, _meet("a", "b", threshold)).distinct(), "cold")
+    del rows
     release(spark)
-    placed = classes.select("id", "pos", "n", "p1", "p2", F.explode("prefix").alias("w")).filter(hot)
+    some_hot = classes.filter(F.size("hot") > 0)
+    placed = some_hot.select("id", "pos", "n", F.explode("hot").alias("w"))
     lead = materialize(placed.groupBy("w", "n").agg(F.min("pos").alias("lead")), "lead")
     led = materialize(placed.join(lead, ["w", "n"]).filter("pos > lead").select("id", "lead").distinct(), "led")
-    release(spark)
-    leaders = classes.select(F.col("pos").alias("lead"), F.col("id").alias("y"), "n", "p1", "p2").alias("b")
-    led = led.join(leaders, "lead").alias("b").join(classes.select(F.col("id"), "n", "p1", "p2").alias("a"), "id")
-    led = led.filter(_may_match("a", "b", threshold)).select(F.col("id").alias("x"), "y")
-    pairs = pairs.union(materialize(led, "ledpairs"))
-    decided = _verified(docs, classes, pairs, threshold)
-    release(spark)
-    hot_rows = classes.select("id", "pos", "n", "p1", "p2", F.posexplode("prefix").alias("i", "w")).filter(hot)
-    hot_rows = materialize(hot_rows, "hot")
-    open_ = materialize(hot_rows.join(decided, "id", "left_anti"), "open")
+    leaders = some_hot.select(F.col("pos").alias("lead"), F.col("id").alias("y"), "n", "p").alias("b")
+    near = led.join(leaders, "lead").alias("b").join(some_hot.select("id", "n", "p").alias("a"), "id")
+    near = materialize(near.filter(_may_match("a", "b", threshold)).select(F.col("id").alias("x"), "y", _distance("a", "b").alias("d")), "near")
+    decided = _verified(docs, classes, pairs.union(near), threshold)
+    discard(pairs, near, lead, led)
+    hot = materialize(_hot_keys(some_hot, threshold), "hot")
+    open_ = materialize(hot.join(decided, hot["id"] == decided["late"], "left_anti"), "open")
     found = []
-    for small, large, late in ((open_, hot_rows, "a"), (hot_rows, open_, "b")):
+    for small, large, late in ((open_, hot, "a"), (hot, open_, "b")):
         early = "ab".replace(late, "")
-        on = _meet("a", "b", threshold) & (F.col(f"{late}.pos") > F.col(f"{early}.pos"))
-        found.append(small.alias("a").join(large.alias("b"), on).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")))
+        on = _meet("a", "b", threshold, True) & (F.col(f"{late}.pos") > F.col(f"{early}.pos"))
+        on = on & ((F.col("a.j") >= 0) == (F.col("b.j") >= 0)) & ((F.col("a.j") >= 0) | (F.col("b.n") > PAIR_WORDS))
+        found.append(_candidates(small, large, on))
     more = materialize(found[0].union(found[1]).distinct(), "hotpairs")
     if not more.isEmpty():
         decided = decided.union(_verified(docs, classes, more, threshold)).distinct()
-    late = materialize(decided.withColumn("late", F.lit(True)), "decided")
-    firsts = materialize(classes.select("s1", "s2", "id", "pos").join(late, "id", "left").select("s1", "s2", F.col("pos").alias("first"), "late"), "firsts")
-    discard(classes, hot_rows, open_, more, lead)
+    late = materialize(decided.select(F.col("late").alias("id"), F.lit(True).alias("late")), "decided")
+    # classes of one line that matches nothing have nothing to remove
+    firsts = classes.select("s1", "s2", "id", F.col("pos").alias("first"), "copies").join(late, "id", "left").filter("late or copies > 1")
+    firsts = materialize(firsts.select("s1", "s2", "first", F.coalesce("late", F.lit(False)).alias("late")), "firsts")
+    discard(classes, hot, open_, more, late)
+    flags = lines.select("doc_id", "th", "line_no", "s1", "s2").join(firsts, ["s1", "s2"]).filter(F.col("late") | (position > F.col("first")))
+    out = materialize(flags.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("line_no")).alias("gone")), "gone")
+    discard(lines, firsts)
     release(spark)
-    gone = F.coalesce(F.col("late"), F.lit(False)) | (F.col("pos") > F.col("first"))
-    flags = slim.join(firsts, ["s1", "s2"]).select("doc_id", "th", F.struct("line_no", gone.alias("gone")).alias("f"))
-    return flags.filter("f.gone").groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("f.line_no")).alias("gone"))
+    return out
 
 
 def line_dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -221,13 +272,11 @@ def line_dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Columns of ``docs`` with these three names are replaced.
     """
     docs = docs.drop("n_lines", "n_removed", "kept_text")
-    source = keyed(docs)
-    gone = later_lines(source, threshold).withColumnRenamed("gone", "_gone")
-    gone = materialize(gone, "gone").withColumnsRenamed({"doc_id": "_id", "th": "_th"})
-    own = docs.withColumns({"_key": F.col("doc_id").cast("long"), "_text": F.coalesce(F.col("text").cast("string"), F.lit(""))})
-    own = own.withColumn("_hash", F.xxhash64("_text"))
+    gone = later_lines(keyed(docs), threshold).withColumnsRenamed({"doc_id": "_id", "th": "_th", "gone": "_gone"})
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own = docs.withColumns({"_key": F.col("doc_id").cast("long"), "_hash": F.xxhash64(text)})
     both = own.join(gone, own["_key"].eqNullSafe(gone["_id"]) & (own["_hash"] == gone["_th"]), "left")
-    both = both.withColumn("_lines", F.split("_text", "\n"))
+    both = both.withColumn("_lines", F.split(text, "\n"))
     size = F.size("_lines")
     none = F.array().cast("array<int>")
     # the kept stretches between removed lines, so that the work grows with their number and not its square
@@ -235,5 +284,5 @@ def line_dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     starts = F.concat(F.array(F.lit(0)), F.transform(gaps, lambda g: g + 1))
     stops = F.concat(gaps, F.array(size))
     kept = F.flatten(F.zip_with(starts, stops, lambda a, b: F.slice("_lines", a + 1, b - a)))
-    out = both.withColumns({"n_lines": size.cast("long"), "n_removed": F.size(gaps).cast("long"), "kept_text": F.array_join(kept, "\n")})
+    out = both.withColumns({"n_lines": size.cast("long"), "n_removed": F.size(gaps).cast("long"), "kept_text": F.when(F.size(gaps) == 0, text).otherwise(F.array_join(kept, "\n"))})
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], "n_lines", "n_removed", "kept_text")
