@@ -13,12 +13,13 @@ joined; a line repeated in a third of all documents is one row from there on.
 
 *Join.*  Classes meet on the words of their prefixes (the longer set's first n - ceil(t n) + 1 words, the
 shorter's first n - ceil(2t/(1+t) n) + 1).  In the join condition stand the length filter, the positional
-filter, and a bound on the symmetric difference: the parities of word hashes in a 64-bit word differ
-in no more bits than the sets differ in words.  Of each later class the nearest candidate is verified on
-the words themselves first, and the others only where that one fails.
+filter, and a bound on the symmetric difference: the parities of word hashes in 64 bits (128 for long
+lines) differ in no more bits than the sets differ in words.  Of what meets, only pairs that share as many
+prefix words as the needed overlap leaves to the prefixes go on.  Of each later class the nearest candidate
+is verified on the words themselves first, and the others only where that one fails.
 
 *Hot words.*  Where a prefix word is frequent (``HOT_COUNT``, above the mean load of buckets), variants of one line would meet as all
-pairs.  Classes with such words are first compared with the first class of the same word and size only;
+pairs.  Classes with such words are first compared with ``LEADERS`` early classes of the same word and size only;
 those that match are decided, and take no part as the later side afterwards.  The rest meet on pairs of
 frequent words: two different matching sets share two words, and the first two they share stand within
 the prefix of one word more.  (Lines of over ``PAIR_WORDS`` words meet on single words, as their pairs
@@ -45,6 +46,8 @@ THRESHOLD = 0.8
 RARITY_BITS = 18
 MARK_BITS = 16
 PAIR_WORDS = 64
+LONG_WORDS = 80
+LEADERS = 4
 HOT_COUNT = 256
 HOT_LOADS = 4
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -67,7 +70,8 @@ def _bucket(hashed: Column, bits: int) -> Column:
 
 def rarity_table(docs: DataFrame) -> bytes:
     """For each bucket of word hashes, 1 + ``_STEPS`` * log2 of its number of words, 0 if none."""
-    counts = docs.select(F.explode(_words(F.col("text"))).alias("w")).groupBy(_bucket(F.xxhash64("w"), RARITY_BITS).alias("b")).count()
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line"))  # words of short arrays explode twice as fast as those of whole texts
+    counts = lines.select(F.explode(_words(F.col("line"))).alias("w")).groupBy(_bucket(F.xxhash64("w"), RARITY_BITS).alias("b")).count()
     level = F.least(F.lit(126), 1 + F.floor(_STEPS * F.log2("count"))).cast("int")
     return _collected(counts.select("b", level.alias("v")), RARITY_BITS)
 
@@ -126,6 +130,8 @@ def _signed_lines(docs: DataFrame, table: bytes, level: int, threshold: float) -
     frequent = lambda k: F.shiftright(k, 56) >= level
     lines = lines.withColumn("hot", F.filter("head", frequent))
     cold = F.slice("head", F.lit(1), F.least(_prefix(F.col("n"), threshold), F.size("head") - F.size("hot")))
+    parity = lambda keys: F.aggregate(keys, F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k)))
+    upper = F.when(F.col("n") > LONG_WORDS, parity(F.filter("sig", lambda k: k.bitwiseAND(F.lit(64)) != 0))).otherwise(F.lit(0).cast("long"))
     return lines.select(
         "doc_id",
         "th",
@@ -137,48 +143,68 @@ def _signed_lines(docs: DataFrame, table: bytes, level: int, threshold: float) -
         F.transform(cold, lambda k: k.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("cold"),
         "hot",
         (F.size("head") - F.size("hot")).alias("at"),
-        F.aggregate("sig", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k))).alias("p"),
+        parity("sig").alias("p"),
+        upper.alias("q"),
     )
 
 
+def _apart(a: str, b: str) -> Column:
+    """Bits in which the parities of two classes ``(n, p, q)`` differ: 128 of them where both are long, else 64."""
+    p, q = (F.col(f"{a}.{x}").bitwiseXOR(F.col(f"{b}.{x}")) for x in "pq")
+    both = (F.col(f"{a}.n") > LONG_WORDS) & (F.col(f"{b}.n") > LONG_WORDS)
+    return F.when(both, F.bit_count(p.bitwiseXOR(q)) + F.bit_count(q)).otherwise(F.bit_count(p))
+
+
 def _may_match(a: str, b: str, threshold: float) -> Column:
-    """Length filter and parity bound of two classes ``(n, p)``, a not larger than b."""
+    """Length filter and parity bound of two classes ``(n, p, q)``, a not larger than b."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    apart = F.floor((na + nb) * ((1 - threshold) / (1 + threshold)) + 1e-9)
-    return (na >= threshold * nb - 1e-9) & (_distance(a, b) <= apart)
+    return (na >= threshold * nb - 1e-9) & (_apart(a, b) <= F.floor((na + nb) * ((1 - threshold) / (1 + threshold)) + 1e-9))
 
 
-def _distance(a: str, b: str) -> Column:
-    return F.bit_count(F.col(f"{a}.p").bitwiseXOR(F.col(f"{b}.p")))
+def _overlap(na: Column, nb: Column, threshold: float) -> Column:
+    """Words that matching sets of these sizes share at least."""
+    return F.ceil((na + nb) * (threshold / (1 + threshold)) - 1e-9)
 
 
 def _meet(a: str, b: str, threshold: float, second: bool = False) -> Column:
-    """All filters for rows ``(w, i, n, p)`` of two classes that share the key, a the smaller; with ``second``, ``j`` is the place of a second shared word."""
+    """All filters for rows ``(w, i, n, p, q)`` of two classes that share the key, a the smaller; with ``second``, ``j`` is the place of a second shared word."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    overlap = F.ceil((na + nb) * (threshold / (1 + threshold)) - 1e-9)
-    place = (na - F.col(f"{a}.i") >= overlap) & (nb - F.col(f"{b}.i") >= overlap)
-    if second:
-        place = place & (na - F.col(f"{a}.j") >= overlap - 1) & (nb - F.col(f"{b}.j") >= overlap - 1)
+    overlap = _overlap(na, nb, threshold)
+    i, j = F.col(f"{a}.i"), F.col(f"{b}.i")
+    if second:  # they are the first two that the sets share
+        place = (na - i >= overlap) & (nb - j >= overlap) & (na - F.col(f"{a}.j") >= overlap - 1) & (nb - F.col(f"{b}.j") >= overlap - 1)
+    else:  # any shared word: no more than the lesser of its places can be shared before it
+        place = (na - i + F.least(i, j) >= overlap) & (nb - j + F.least(i, j) >= overlap)
     order = (na < nb) | ((na == nb) & (F.col(f"{a}.id") < F.col(f"{b}.id")))
     return (F.col(f"{a}.w") == F.col(f"{b}.w")) & order & place & _may_match(a, b, threshold)
 
 
-def _candidates(a: DataFrame, b: DataFrame, on: Column) -> DataFrame:
-    return a.alias("a").join(b.alias("b"), on).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"), _distance("a", "b").alias("d"))
+def _candidates(a: DataFrame, b: DataFrame, on: Column, threshold: float, least: Column | None = None) -> DataFrame:
+    """Distinct pairs ``(x, y, d)`` that meet on ``on``, as often as ``least`` says."""
+    met = a.alias("a").join(b.alias("b"), on).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"), _apart("a", "b").alias("d"), (F.lit(1) if least is None else least).cast("int").alias("least"))
+    return met.groupBy("x", "y").agg(F.min("d").alias("d"), F.min("least").alias("least"), F.count("*").alias("met")).filter("met >= least").select("x", "y", "d")
+
+
+def _shared_words(threshold: float) -> Column:
+    """Prefix words below the hot level that the matching classes a and b (the larger) share at least.
+
+    What two sets share lies in both prefixes or, at most, in one set's words after its prefix; ``h`` of a prefix's
+    words are frequent and were not met on.
+    """
+    return _overlap(F.col("a.n"), F.col("b.n"), threshold) - F.ceil(threshold * F.col("b.n") - 1e-9) + 1 - F.least("a.h", "b.h")
 
 
 def _similar(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Ids ``late`` of ``pairs(late, ll, le)``, hashes of a later and an earlier line, whose words match."""
+    """Ids ``late`` of ``pairs(late, ll, le, overlap)``, hashes of a later and an earlier line, whose words match."""
     wanted = materialize(pairs.select(F.explode(F.array("ll", "le")).alias("lh")).distinct(), "wanted")
     marked = _collected(wanted.select(_bucket(F.col("lh"), MARK_BITS).alias("b"), F.lit(1).alias("v")).distinct(), MARK_BITS)
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select("line", F.xxhash64("line").alias("lh"))
     lines = lines.filter(_lookup(marked, _bucket(F.col("lh"), MARK_BITS)) == 1).join(wanted, "lh", "left_semi").groupBy("lh").agg(F.first("line").alias("line"))
     texts = materialize(lines, "texts")
-    # whole lines travel, their words are split after the joins: an array of strings takes three times the room
+    # whole lines travel and are split after the joins, once: an array of strings takes three times the room
     both = pairs.join(texts.select(F.col("lh").alias("ll"), F.col("line").alias("a")), "ll").join(texts.select(F.col("lh").alias("le"), F.col("line").alias("b")), "le")
-    both = both.select("late", F.array_distinct(_words(F.col("a"))).alias("a"), F.array_distinct(_words(F.col("b"))).alias("b"))
-    both = both.select("late", F.size("a").alias("na"), F.size("b").alias("nb"), F.size(F.array_intersect("a", "b")).alias("shared"))
-    found = both.filter(F.col("shared") >= threshold * (F.col("na") + F.col("nb") - F.col("shared")) - 1e-9).select("late").distinct()
+    shared = F.size(F.array_intersect(_words(F.col("a")), _words(F.col("b"))))
+    found = both.filter(shared >= F.col("overlap")).select("late").distinct()
     found = materialize(found, "similar")
     discard(wanted, texts)
     release(docs.sparkSession)
@@ -187,18 +213,17 @@ def _similar(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """Ids of later classes among ``pairs(x, y, d)`` of class ids that match an earlier class on the words."""
-    ends = classes.select("id", "pos", "lh")
-    named = pairs.join(ends.select(F.col("id").alias("x"), F.col("pos").alias("px"), F.col("lh").alias("lx")), "x")
-    named = named.join(ends.select(F.col("id").alias("y"), F.col("pos").alias("py"), F.col("lh").alias("ly")), "y")
+    end = lambda k: classes.select(*[F.col(c).alias(v) for c, v in (("id", k), ("pos", f"p{k}"), ("lh", f"l{k}"), ("n", f"n{k}"))])
+    named = pairs.join(end("x"), "x").join(end("y"), "y")
     swap = F.col("px") > F.col("py")
     pick = lambda a, b: F.when(swap, F.col(a)).otherwise(F.col(b))
-    named = named.select(pick("x", "y").alias("late"), pick("lx", "ly").alias("ll"), pick("ly", "lx").alias("le"), "d")
+    named = named.select(pick("x", "y").alias("late"), pick("lx", "ly").alias("ll"), pick("ly", "lx").alias("le"), "d", _overlap(F.col("nx"), F.col("ny"), threshold).cast("int").alias("overlap"))
     named = materialize(named, "named")
-    nearest = named.groupBy("late").agg(F.min(F.struct("d", "le", "ll")).alias("e")).select("late", "e.ll", "e.le")
+    nearest = named.groupBy("late").agg(F.min(F.struct("d", "le", "ll", "overlap")).alias("e")).select("late", "e.ll", "e.le", "e.overlap")
     nearest = materialize(nearest, "nearest")
     found = _similar(docs, nearest, threshold)
     others = named.join(nearest.join(found, "late", "left_anti").select("late", F.col("le").alias("tried")), "late").filter("le <> tried")
-    others = materialize(others.select("late", "ll", "le"), "others")
+    others = materialize(others.select("late", "ll", "le", "overlap"), "others")
     if not others.isEmpty():
         found = found.union(_similar(docs, others, threshold)).distinct()
     discard(named, nearest, others)
@@ -206,8 +231,8 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold:
 
 
 def _hot_keys(classes: DataFrame, threshold: float) -> DataFrame:
-    """Rows ``(w, i, j, id, pos, n, p)`` on which classes with frequent words meet: pairs of those words, or single ones of long lines."""
-    own = ["id", "pos", "n", "p"]
+    """Rows ``(w, i, j, id, pos, n, p, q)`` on which classes with frequent words meet: pairs of those words, or single ones of long lines."""
+    own = ["id", "pos", "n", "p", "q"]
     rows = classes.select(*own, "at", "hot", F.posexplode("hot").alias("k", "u"))
     pairs = rows.filter(F.col("n") <= PAIR_WORDS).select(*own, (F.col("at") + F.col("k")).alias("i"), "u", "at", F.posexplode("hot").alias("l", "v"))
     pairs = pairs.withColumn("j", F.col("at") + F.col("l")).filter("j > i").select(F.xxhash64("u", "v").alias("w"), "i", "j", *own)
@@ -225,22 +250,23 @@ def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     del table
     release(spark)
     position = _position(F.col("doc_id"), F.col("th"), F.col("line_no"))
-    firsts = [F.first(c).alias(c) for c in ("lh", "n", "cold", "hot", "at", "p")]
+    firsts = [F.first(c).alias(c) for c in ("lh", "n", "cold", "hot", "at", "p", "q")]
     classes = lines.groupBy("s1", "s2").agg(F.min(position).alias("pos"), F.count("*").alias("copies"), *firsts)
     classes = materialize(classes.withColumn("id", F.col("s1").bitwiseXOR(F.shiftleft("s2", 1))), "classes")
     release(spark)
     # half of the hash is enough to meet on: what else meets is not verified
-    rows = classes.select("id", F.struct("n", "p").alias("c"), F.posexplode("cold").alias("i", "w")).select("w", "id", "c.n", "i", "c.p")
-    pairs = materialize(_candidates(rows, rows, _meet("a", "b", threshold)).distinct(), "cold")
+    rows = classes.select("id", "n", (_prefix(F.col("n"), threshold) - F.size("cold")).alias("h"), "p", "q", F.posexplode("cold").alias("i", "w"))
+    pairs = materialize(_candidates(rows, rows, _meet("a", "b", threshold), threshold, _shared_words(threshold)), "cold")
     del rows
     release(spark)
     some_hot = classes.filter(F.size("hot") > 0)
-    placed = some_hot.select("id", "pos", "n", F.explode("hot").alias("w"))
-    lead = materialize(placed.groupBy("w", "n").agg(F.min("pos").alias("lead")), "lead")
+    placed = some_hot.select("id", "pos", "n", F.explode(F.slice("hot", 1, 2)).alias("w"))
+    lead = placed.groupBy("w", "n", F.pmod("id", F.lit(LEADERS)).alias("turn")).agg(F.min("pos").alias("lead"))
+    lead = materialize(lead.select("w", "n", "lead"), "lead")
     led = materialize(placed.join(lead, ["w", "n"]).filter("pos > lead").select("id", "lead").distinct(), "led")
-    leaders = some_hot.select(F.col("pos").alias("lead"), F.col("id").alias("y"), "n", "p").alias("b")
-    near = led.join(leaders, "lead").alias("b").join(some_hot.select("id", "n", "p").alias("a"), "id")
-    near = materialize(near.filter(_may_match("a", "b", threshold)).select(F.col("id").alias("x"), "y", _distance("a", "b").alias("d")), "near")
+    leaders = some_hot.select(F.col("pos").alias("lead"), F.col("id").alias("y"), "n", "p", "q").alias("b")
+    near = led.join(leaders, "lead").alias("b").join(some_hot.select("id", "n", "p", "q").alias("a"), "id")
+    near = materialize(near.filter(_may_match("a", "b", threshold)).select(F.col("id").alias("x"), "y", _apart("a", "b").alias("d")), "near")
     decided = _verified(docs, classes, pairs.union(near), threshold)
     discard(pairs, near, lead, led)
     hot = materialize(_hot_keys(some_hot, threshold), "hot")
@@ -250,8 +276,8 @@ def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         early = "ab".replace(late, "")
         on = _meet("a", "b", threshold, True) & (F.col(f"{late}.pos") > F.col(f"{early}.pos"))
         on = on & ((F.col("a.j") >= 0) == (F.col("b.j") >= 0)) & ((F.col("a.j") >= 0) | (F.col("b.n") > PAIR_WORDS))
-        found.append(_candidates(small, large, on))
-    more = materialize(found[0].union(found[1]).distinct(), "hotpairs")
+        found.append(_candidates(small, large, on, threshold))
+    more = materialize(found[0].union(found[1]), "hotpairs")
     if not more.isEmpty():
         decided = decided.union(_verified(docs, classes, more, threshold)).distinct()
     late = materialize(decided.select(F.col("late").alias("id"), F.lit(True).alias("late")), "decided")
