@@ -44,10 +44,10 @@ from chunkloom.llm._store import discard, keyed, materialize, release
 
 THRESHOLD = 0.8
 RARITY_BITS = 18
-MARK_BITS = 16
+MARK_BITS = 20
 PAIR_WORDS = 64
 LONG_WORDS = 80
-LEADERS = 4
+LEADERS = 16
 HOT_COUNT = 256
 HOT_LOADS = 4
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -194,40 +194,46 @@ def _shared_words(threshold: float) -> Column:
     return _overlap(F.col("a.n"), F.col("b.n"), threshold) - F.ceil(threshold * F.col("b.n") - 1e-9) + 1 - F.least("a.h", "b.h")
 
 
-def _similar(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Ids ``late`` of ``pairs(late, ll, le, overlap)``, hashes of a later and an earlier line, whose words match."""
-    wanted = materialize(pairs.select(F.explode(F.array("ll", "le")).alias("lh")).distinct(), "wanted")
-    marked = _collected(wanted.select(_bucket(F.col("lh"), MARK_BITS).alias("b"), F.lit(1).alias("v")).distinct(), MARK_BITS)
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``lh, line`` of the lines whose hashes are among ``wanted(lh)``, distinct; a table of bits spares most others the shuffle while they are few."""
+    bucket = lambda c: _bucket(c, MARK_BITS)
+    some = _collected(wanted.select(bucket(F.col("lh")).alias("b"), F.lit(1).alias("v")).distinct(), MARK_BITS)
+    packed = bytes(some[i] | some[i + 1] << 1 | some[i + 2] << 2 | some[i + 3] << 3 for i in range(0, len(some), 4))
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select("line", F.xxhash64("line").alias("lh"))
-    lines = lines.filter(_lookup(marked, _bucket(F.col("lh"), MARK_BITS)) == 1).join(wanted, "lh", "left_semi").groupBy("lh").agg(F.first("line").alias("line"))
-    texts = materialize(lines, "texts")
+    at = bucket(F.col("lh"))
+    marked = F.call_function("shiftright", _lookup(packed, F.shiftright(at, 2)), at.bitwiseAND(F.lit(3))).bitwiseAND(F.lit(1)) == 1
+    lines = lines.filter(marked).join(wanted, "lh", "left_semi")
+    return materialize(lines.groupBy("lh").agg(F.first("line").alias("line")), "texts")
+
+
+def _similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Ids ``late`` of ``pairs(late, ll, le, overlap)``, hashes of a later and an earlier line, that share ``overlap`` words."""
     # whole lines travel and are split after the joins, once: an array of strings takes three times the room
     both = pairs.join(texts.select(F.col("lh").alias("ll"), F.col("line").alias("a")), "ll").join(texts.select(F.col("lh").alias("le"), F.col("line").alias("b")), "le")
     shared = F.size(F.array_intersect(_words(F.col("a")), _words(F.col("b"))))
-    found = both.filter(shared >= F.col("overlap")).select("late").distinct()
-    found = materialize(found, "similar")
-    discard(wanted, texts)
-    release(docs.sparkSession)
-    return found
+    return materialize(both.filter(shared >= F.col("overlap")).select("late").distinct(), "similar")
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Ids of later classes among ``pairs(x, y, d)`` of class ids that match an earlier class on the words."""
+def _named(classes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """``late, ll, le, d, overlap``: ``pairs(x, y, d)`` of class ids in order of position, with hashes of their lines and the overlap they need."""
     end = lambda k: classes.select(*[F.col(c).alias(v) for c, v in (("id", k), ("pos", f"p{k}"), ("lh", f"l{k}"), ("n", f"n{k}"))])
     named = pairs.join(end("x"), "x").join(end("y"), "y")
     swap = F.col("px") > F.col("py")
     pick = lambda a, b: F.when(swap, F.col(a)).otherwise(F.col(b))
-    named = named.select(pick("x", "y").alias("late"), pick("lx", "ly").alias("ll"), pick("ly", "lx").alias("le"), "d", _overlap(F.col("nx"), F.col("ny"), threshold).cast("int").alias("overlap"))
-    named = materialize(named, "named")
+    overlap = _overlap(F.col("nx"), F.col("ny"), threshold).cast("int")
+    return materialize(named.select(pick("x", "y").alias("late"), pick("lx", "ly").alias("ll"), pick("ly", "lx").alias("le"), "d", overlap.alias("overlap")), "named")
+
+
+def _decided(texts: DataFrame, named: DataFrame) -> DataFrame:
+    """Ids ``late`` of classes that match an earlier one: the nearest is tried first, the others where it fails."""
     nearest = named.groupBy("late").agg(F.min(F.struct("d", "le", "ll", "overlap")).alias("e")).select("late", "e.ll", "e.le", "e.overlap")
     nearest = materialize(nearest, "nearest")
-    found = _similar(docs, nearest, threshold)
+    found = _similar(texts, nearest)
     others = named.join(nearest.join(found, "late", "left_anti").select("late", F.col("le").alias("tried")), "late").filter("le <> tried")
     others = materialize(others.select("late", "ll", "le", "overlap"), "others")
-    if not others.isEmpty():
-        found = found.union(_similar(docs, others, threshold)).distinct()
-    discard(named, nearest, others)
-    return found
+    more = _similar(texts, others)
+    discard(nearest, others)
+    return found.union(more).distinct()
 
 
 def _hot_keys(classes: DataFrame, threshold: float) -> DataFrame:
@@ -267,8 +273,13 @@ def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     leaders = some_hot.select(F.col("pos").alias("lead"), F.col("id").alias("y"), "n", "p", "q").alias("b")
     near = led.join(leaders, "lead").alias("b").join(some_hot.select("id", "n", "p", "q").alias("a"), "id")
     near = materialize(near.filter(_may_match("a", "b", threshold)).select(F.col("id").alias("x"), "y", _apart("a", "b").alias("d")), "near")
-    decided = _verified(docs, classes, pairs.union(near), threshold)
-    discard(pairs, near, lead, led)
+    named = _named(classes, pairs.union(near), threshold)
+    wanted = named.select(F.explode(F.array("ll", "le")).alias("lh")).union(some_hot.select("lh")).distinct()
+    wanted = materialize(wanted, "wanted")
+    texts = _texts(docs, wanted)
+    release(spark)
+    decided = _decided(texts, named)
+    discard(pairs, near, lead, led, named, wanted)
     hot = materialize(_hot_keys(some_hot, threshold), "hot")
     open_ = materialize(hot.join(decided, hot["id"] == decided["late"], "left_anti"), "open")
     found = []
@@ -279,12 +290,12 @@ def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         found.append(_candidates(small, large, on, threshold))
     more = materialize(found[0].union(found[1]), "hotpairs")
     if not more.isEmpty():
-        decided = decided.union(_verified(docs, classes, more, threshold)).distinct()
+        decided = decided.union(_decided(texts, _named(some_hot, more, threshold))).distinct()
     late = materialize(decided.select(F.col("late").alias("id"), F.lit(True).alias("late")), "decided")
     # classes of one line that matches nothing have nothing to remove
     firsts = classes.select("s1", "s2", "id", F.col("pos").alias("first"), "copies").join(late, "id", "left").filter("late or copies > 1")
     firsts = materialize(firsts.select("s1", "s2", "first", F.coalesce("late", F.lit(False)).alias("late")), "firsts")
-    discard(classes, hot, open_, more, late)
+    discard(classes, hot, open_, more, late, texts)
     flags = lines.select("doc_id", "th", "line_no", "s1", "s2").join(firsts, ["s1", "s2"]).filter(F.col("late") | (position > F.col("first")))
     out = materialize(flags.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("line_no")).alias("gone")), "gone")
     discard(lines, firsts)
