@@ -4,21 +4,20 @@
 hashes have it.  Equal fingerprints collapse before any comparison, so a group of copies of any size
 is one point.
 
-*A forest of vantage-point trees.*  A tree over all 64 bits cannot be sharded usefully: distances of
-unrelated fingerprints gather within 4 bits of 32, so at radius 4 most points lie in the boundary of
-each split and are copied to both sides (about 1.7 copies a level).  The tree tops therefore measure
-the Hamming distance on bit blocks: two fingerprints within ``radius`` bits agree on at least
-``blocks - radius`` of ``blocks`` blocks, so in the tree of those blocks their distance is zero and
-they share its shard without any boundary.  More blocks are used as the number of fingerprints grows,
-so that shards stay small: 5 trees up to half a million points, 15 up to a hundred million.
-
-*Hot shards* are split by a true vantage point over all 64 bits: a shard's points go to rings by
-their distance to it; by the triangle bound a point need only meet rings at most ``radius`` away, so
-each ring is also sent its neighbours' boundary points.  Rings that are still too large are cut into
-chunks of home points, each meeting the whole ring.
-
-*Within a shard* points are compared exactly; large ones sort by distance to a vantage point and
-compare only neighbouring rings.  A shard returns a spanning forest, never all of its pairs.
+*Vantage-point trees.*  The 64 bits are cut into ``radius`` blocks, and each block has a tree.  Two
+fingerprints within ``radius`` bits are within one bit of each other in at least one block, so a tree
+needs to look around a point by one bit only (by ``radius`` bits in one tree over all 64 it would visit 0.85 of
+the branches at each split, by one bit in a block 0.69).  A node holds a vantage point and the median distance of
+its points; those nearer go left, the others right.  A point's home is one leaf; by the triangle bound it
+can have neighbours in a branch only if its distance to the vantage point is within one bit of the
+branch's range, so it also visits the leaves that are left when all other branches are pruned.  Trees are
+fitted on at most ``SAMPLE`` fingerprints (those of least hash), and are as deep as leaves of about
+``LEAF_POINTS`` need; every fingerprint is sent through them.
+
+*Leaves* are the shards: home points are compared with all visitors, exactly, over all 64 bits; sorted by
+distance to one of them, only those within ``radius`` of each other's distance are.  A leaf with more than
+``CHUNK_POINTS`` home points, counted before, is dealt to several tasks by home point, each of which
+gets all visitors.  A task returns a spanning forest, never all of its pairs.
 
 Defined cases: null text is an empty document (fingerprint 0); rows equal in id and text are one
 document; a null id takes part in linking, and a component's id is its least non-null id; other
@@ -28,7 +27,7 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +42,10 @@ from chunkloom.llm._words import Words, words
 RADIUS = 4
 SHINGLE = 4
 SEED = 42
-SHARD_POINTS = 64
-HOT_POINTS = 1024
+SAMPLE = 1 << 14
+LEAF_POINTS = 1024
+CHUNK_POINTS = 2048
+MAX_LEVELS = 20
 _STEP = 1 << 15
 
 
@@ -93,20 +94,59 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch], shingle: int, seed:
             )
 
 
-def _blocks(n_points: int, radius: int) -> int:
-    """The fewest blocks for which a shard of unrelated fingerprints holds about SHARD_POINTS or less."""
-    for blocks in range(radius + 1, 2 * radius + 1):
-        if n_points >> (64 * (blocks - radius) // blocks) <= SHARD_POINTS:
-            return blocks
-    return 2 * radius
-
-
-def _masks(blocks: int, radius: int) -> list[int]:
-    """For each tree, the bits on which its shards agree."""
+@dataclass
+class Tree:
+    """A vantage-point tree over some bits; node i has children 2i+1 and 2i+2, ``levels`` levels of nodes stand above the leaves."""
+
+    mask: int
+    radius: int
+    levels: int
+    vantage: np.ndarray
+    limit: np.ndarray
+
+    def visits(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(point, leaf, home)`` of every leaf that may hold points within the tree's radius of a point."""
+        point, node, home = np.arange(len(fp)), np.zeros(len(fp), np.int64), np.ones(len(fp), bool)
+        own = fp & np.uint64(self.mask)
+        for _ in range(self.levels):
+            d = np.bitwise_count(own[point] ^ self.vantage[node]).astype(np.int64)
+            near = d <= self.limit[node]
+            left, right = d - self.radius <= self.limit[node], d + self.radius > self.limit[node]
+            home = np.concatenate([home[left] & near[left], home[right] & ~near[right]])
+            node = np.concatenate([2 * node[left] + 1, 2 * node[right] + 2])
+            point = np.concatenate([point[left], point[right]])
+        return point, node - ((1 << self.levels) - 1), home
+
+
+def fitted_tree(sample: np.ndarray, mask: int, radius: int, levels: int) -> Tree:
+    """A tree whose nodes halve their part of a sample; of three vantage points the one with the fewest points at its boundary."""
+    nodes = (1 << levels) - 1
+    vantage, limit = np.zeros(nodes, np.uint64), np.full(nodes, 32, np.int64)
+    held = {0: sample & np.uint64(mask)}
+    for node in range(nodes):
+        part = held.pop(node, np.zeros(0, np.uint64))
+        best = None
+        for v in part[[0, len(part) // 3, 2 * len(part) // 3]] if len(part) else []:
+            d = np.bitwise_count(part ^ v).astype(np.int64)
+            middle = int(np.median(d))
+            for cut in (middle - 1, middle):
+                larger = max(np.count_nonzero(d - radius <= cut), np.count_nonzero(d + radius > cut))
+                if best is None or larger < best[0]:
+                    best = larger, v, cut, d <= cut
+        if best is None:
+            continue
+        _, vantage[node], limit[node], near = best
+        held[2 * node + 1], held[2 * node + 2] = part[near], part[~near]
+    return Tree(mask, radius, levels, vantage, limit)
+
+
+def fitted_forest(sample: np.ndarray, n_points: int, radius: int) -> list[Tree]:
+    """One tree for each block of bits, for ``n_points`` points."""
+    blocks = max(1, radius)
+    levels = min(MAX_LEVELS, max(0, int(np.ceil(np.log2(max(n_points, 1) / LEAF_POINTS)))))
     cuts = [64 * i // blocks for i in range(blocks + 1)]
-    parts = [((1 << (b - a)) - 1) << a for a, b in zip(cuts, cuts[1:])]
-    masks = [sum(c) for c in combinations(parts, blocks - radius)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+    masks = [((1 << (b - a)) - 1) << a for a, b in zip(cuts, cuts[1:])]
+    return [fitted_tree(sample, m, radius // blocks, levels) for m in masks]
 
 
 def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -122,89 +162,94 @@ def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = jump
 
 
-def _shard(fp: np.ndarray, home: np.ndarray, radius: int) -> np.ndarray:
-    """Labels within one shard: least index linked; pairs without a home point are left to other shards."""
-    v = fp[0]
-    distance = np.bitwise_count(fp ^ v)
+def _leaf(fp: np.ndarray, home: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that span the links of home points among the points of one leaf."""
+    distance = np.bitwise_count(fp ^ fp[0])
     order = np.argsort(distance, kind="stable")
-    x, d, at_home = fp[order], distance[order], home[order]
+    x, d = fp[order], distance[order].astype(np.int64)
     label = np.arange(len(fp))
-    mine = np.flatnonzero(at_home)
-    for s in range(0, len(mine), 256):
-        some = mine[s : s + 256]
-        low, high = np.searchsorted(d, int(d[some[0]]) - radius), np.searchsorted(d, int(d[some[-1]]) + radius, "right")
+    mine = np.flatnonzero(home[order])
+    for s in range(0, len(mine), 64):
+        some = mine[s : s + 64]
+        low, high = np.searchsorted(d, d[some[0]] - radius), np.searchsorted(d, d[some[-1]] + radius, "right")
         i, j = np.nonzero(np.bitwise_count(x[some][:, None] ^ x[None, low:high]) <= radius)
         _merge(label, some[i], j + low)
-    out = np.empty(len(fp), np.int64)
-    out[order] = order[label]
-    return out
+    tied = np.flatnonzero(label != np.arange(len(fp)))
+    return x[tied], x[label[tied]]
 
 
 def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Spanning edges of each shard; the rows of a shard arrive together."""
-    names = ["tree", "shard", "ring", "chunk"]
-    held: list[np.ndarray] | None = None
-
-    def work(columns: list[np.ndarray], closed: bool):
-        *keys, home, fp = columns
-        n = len(fp)
-        new = np.ones(n, bool)
-        if n:
-            new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
-        starts = np.flatnonzero(new)
-        rest = n if closed or not n else starts[-1]
-        starts = starts[starts < rest]
-        sizes = np.diff(np.append(starts, rest))
-        a, b = [], []
-        own = np.repeat(np.arange(len(starts)), sizes)
-        small = np.repeat(sizes <= SHARD_POINTS, sizes)
-        x, own = fp[:rest][small], own[small]
-        h = home[:rest][small]
-        for o in range(1, int(sizes[sizes <= SHARD_POINTS].max(initial=0))):
-            near = np.flatnonzero((own[o:] == own[:-o]) & (np.bitwise_count(x[o:] ^ x[:-o]) <= radius) & (h[o:] | h[:-o]))
-            a.append(x[near]), b.append(x[near + o])
-        for s, size in zip(starts[sizes > SHARD_POINTS], sizes[sizes > SHARD_POINTS]):
-            part = fp[s : s + size]
-            label = _shard(part, home[s : s + size], radius)
-            tied = np.flatnonzero(label != np.arange(size))
-            a.append(part[tied]), b.append(part[label[tied]])
-        a, b = (np.concatenate(y) if y else np.zeros(0, np.uint64) for y in (a, b))
-        out = pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-        return out, [c[rest:] for c in columns]
+    """Spanning edges of each leaf; the rows of a leaf arrive together."""
+
+    def edges(fp: np.ndarray, home: np.ndarray) -> pa.RecordBatch:
+        a, b = _leaf(fp, home, radius)
+        return pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
+    now, held = None, []
     for batch in batches:
-        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in [*names, "home", "fp"]]
-        columns[-1] = columns[-1].view(np.uint64)
-        if held is not None:
-            columns = [np.concatenate(c) for c in zip(held, columns)]
-        out, held = work(columns, False)
-        if out.num_rows:
-            yield out
-    if held is not None:
-        yield work(held, True)[0]
+        leaf, home, fp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("leaf", "home", "fp"))
+        cuts = [0, *(np.flatnonzero(leaf[1:] != leaf[:-1]) + 1).tolist(), len(leaf)]
+        for s, e in zip(cuts, cuts[1:]):
+            if s == e:
+                continue
+            if leaf[s] != now:
+                if held:
+                    yield edges(*map(np.concatenate, zip(*held)))
+                now, held = leaf[s], []
+            held.append((fp[s:e].view(np.uint64), home[s:e]))
+    if held:
+        yield edges(*map(np.concatenate, zip(*held)))
+
+
+def _home_counts(batches: Iterator[pa.RecordBatch], forest: list[Tree]) -> Iterator[pa.RecordBatch]:
+    """Home points of each leaf, leaves numbered through the trees."""
+    width = 1 << forest[0].levels
+    found = np.zeros(width * len(forest), np.int64)
+    for b in batches:
+        fp = b.column("fp").to_numpy().view(np.uint64)
+        for t, tree in enumerate(forest):
+            _, leaf, home = tree.visits(fp)
+            found += np.bincount(leaf[home] + t * width, minlength=len(found))
+    at = np.flatnonzero(found)
+    yield pa.record_batch([pa.array(at), pa.array(found[at])], names=["leaf", "n"])
+
+
+def _sent(batches: Iterator[pa.RecordBatch], forest: list[Tree], chunks: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    """Each point for each leaf that it visits, and for each chunk of that leaf; ``home`` in one chunk of one leaf of each tree."""
+    width = 1 << forest[0].levels
+    split = np.ones(width * len(forest), np.int64)
+    for leaf, n in chunks.items():
+        split[leaf] = n
+    for b in batches:
+        every = b.column("fp").to_numpy()
+        for s in range(0, len(every), 1024):
+            fp = every[s : s + 1024].view(np.uint64)
+            for t, tree in enumerate(forest):
+                point, leaf, home = tree.visits(fp)
+                leaf = leaf + t * width
+                times = split[leaf]
+                row = np.repeat(np.arange(len(leaf)), times)
+                chunk = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                own = (fp[point[row]] % times[row].astype(np.uint64)).astype(np.int64) == chunk
+                columns = leaf[row] << 24 | chunk, home[row] & own, fp[point[row]].view(np.int64)
+                yield pa.record_batch(list(map(pa.array, columns)), names=["leaf", "home", "fp"])
+
+
+def forest_of(points: DataFrame, radius: int = RADIUS) -> list[Tree]:
+    """Trees fitted on at most ``SAMPLE`` of ``points(fp)``."""
+    n = points.count()
+    sample = points.select("fp", F.xxhash64("fp").alias("h")).orderBy("h").limit(SAMPLE).collect()
+    return fitted_forest(np.array([r.fp for r in sample], np.int64).view(np.uint64), n, radius)
 
 
 def near_pairs(points: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Edges ``(a, b)`` that span the classes of ``points(fp)``, distinct fingerprints linked at ``radius`` bits or fewer."""
-    masks = _masks(_blocks(points.count(), radius), radius)
-    trees = F.explode(F.array([F.struct(F.lit(i).alias("tree"), F.col("fp").bitwiseAND(F.lit(m)).alias("shard")) for i, m in enumerate(masks)]))
-    rows = points.select("fp", trees.alias("t")).select("t.tree", "t.shard", "fp")
-    hot = rows.groupBy("tree", "shard").agg(F.count("*").alias("n"), F.min("fp").alias("vantage")).filter(F.col("n") > HOT_POINTS)
-    hot = materialize(hot, "hot")
-    rows = rows.join(hot, ["tree", "shard"], "left")
-    distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("vantage")))
-    none, one = F.lit(-1), F.array(F.lit(-1))
-    rings = F.when(F.col("n").isNull(), one).otherwise(F.sequence(F.greatest(F.lit(0), distance - radius), distance))
-    rows = rows.withColumn("ring", F.explode(rings)).withColumn("home", F.col("n").isNull() | (F.col("ring") == distance))
-    homes = rows.filter("ring >= 0 and home").groupBy("tree", "shard", "ring").agg(F.count("*").alias("homes"))
-    homes = materialize(homes.filter(F.col("homes") > HOT_POINTS), "rings")
-    rows = rows.join(homes, ["tree", "shard", "ring"], "left")
-    chunks = F.ceil(F.col("homes") / HOT_POINTS).cast("int")
-    own = F.pmod(F.xxhash64("fp"), chunks).cast("int")
-    rows = rows.withColumn("chunk", F.explode(F.when(F.col("homes").isNull(), one).otherwise(F.sequence(F.lit(0), chunks - 1))))
-    rows = rows.withColumn("home", F.col("home") & ((F.col("chunk") == none) | (F.col("chunk") == own)))
-    keys = ["tree", "shard", "ring", "chunk"]
-    rows = rows.select(*keys, "home", "fp").repartition(*keys).sortWithinPartitions(*keys)
+    forest = forest_of(points, radius)
+    counts = points.mapInArrow(lambda it: _home_counts(it, forest), "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n"))
+    # one row a leaf at most, and only those of crowded leaves
+    chunks = {r.leaf: -(-r.n // CHUNK_POINTS) for r in counts.filter(F.col("n") > CHUNK_POINTS).collect()}
+    rows = points.mapInArrow(lambda it: _sent(it, forest, chunks), "leaf long, home boolean, fp long")
+    rows = rows.repartition("leaf").sortWithinPartitions("leaf")
     return rows.mapInArrow(lambda it: _links(it, radius), "a long, b long")
 
 

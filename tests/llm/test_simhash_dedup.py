@@ -45,10 +45,10 @@ def test_against_brute_force(docs):
     assert got == classes(rows)
 
 
-@pytest.mark.parametrize("hot", [16, 1024])
-def test_hot_shards_lose_no_link(spark, monkeypatch, hot):
-    monkeypatch.setattr(m, "HOT_POINTS", hot)
-    monkeypatch.setattr(m, "SHARD_POINTS", 8)
+@pytest.mark.parametrize("leaf, chunk", [(8, 16), (64, 4096), (10**6, 50)])
+def test_trees_lose_no_link(spark, monkeypatch, leaf, chunk):
+    monkeypatch.setattr(m, "LEAF_POINTS", leaf)
+    monkeypatch.setattr(m, "CHUNK_POINTS", chunk)
     rng = np.random.default_rng(1)
     x = np.unique(rng.integers(0, 1 << 62, 5, np.uint64)[rng.integers(0, 5, 700)] ^ (np.uint64(1) << rng.integers(0, 64, 700, np.uint64)) ^ (np.uint64(1) << rng.integers(0, 40, 700, np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 700, np.uint64)))
     edges = m.near_pairs(spark.createDataFrame([(int(v),) for v in x.view(np.int64)], "fp long")).collect()
@@ -72,14 +72,27 @@ def test_hot_shards_lose_no_link(spark, monkeypatch, hot):
     assert len(set(want)) == len({find(int(v)) for v in s})
 
 
-def test_more_blocks_for_more_points():
-    assert [m._blocks(n, 4) for n in (10, 400_000, 10**8, 10**10)] == [5, 5, 6, 8] or m._blocks(10**10, 4) >= 7
-    for blocks in (5, 6, 7, 8):
-        masks = m._masks(blocks, 4)
-        rng = random.Random(blocks)
-        for _ in range(200):
-            flips = sum(1 << b for b in rng.sample(range(64), 4))
-            assert any(not flips & (k & (1 << 64) - 1) for k in masks)
+@pytest.mark.parametrize("n", [5000, 40000])
+def test_branches_are_entered_and_pruned(n):
+    x = np.random.default_rng(n).integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
+    forest = m.fitted_forest(x[: m.SAMPLE], n, 4)
+    flips = np.zeros(n, np.uint64)
+    rng = np.random.default_rng(1)
+    for _ in range(4):
+        flips |= np.uint64(1) << rng.integers(0, 64, n, np.uint64)
+    met = np.zeros(n, bool)
+    for tree in forest:
+        assert tree.levels == int(np.ceil(np.log2(n / m.LEAF_POINTS))) >= 3
+        point, leaf, home = tree.visits(x)
+        assert np.array_equal(np.sort(point[home]), np.arange(n))  # one home each
+        sizes = np.bincount(leaf[home], minlength=1 << tree.levels)
+        assert (sizes > 0).mean() > 0.9 and sizes.max() < 4 * m.LEAF_POINTS
+        assert len(point) < 0.8**tree.levels * n * (1 << tree.levels)  # the others are pruned
+        homes = np.zeros(n, np.int64)
+        homes[point[home]] = leaf[home]
+        other, visited, _ = tree.visits(x ^ flips)
+        met[other[homes[other] == visited]] = True
+    assert met.all()  # who is at most 4 bits away visits the home in one tree at least
 
 
 def test_empty_table(docs):
