@@ -16,6 +16,10 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^[{SPACE}]+|[{SPACE}]+$", "")
 
 
+def lstrip(c: Column) -> Column:
+    return F.regexp_replace(c, f"^[{SPACE}]+", "")
+
+
 def rstrip(c: Column) -> Column:
     return F.regexp_replace(c, f"[{SPACE}]+$", "")
 

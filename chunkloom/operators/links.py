@@ -25,14 +25,10 @@ def with_neighbours(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("prev_chunk_id", F.lag("chunk_id").over(w)).withColumn("next_chunk_id", F.lead("chunk_id").over(w))
 
 
-def _others(held: Column) -> Column:
-    return F.array_remove(F.transform(F.array_sort(held), lambda r: r["chunk_id"]), F.col("chunk_id"))
-
-
 def with_siblings(chunks: DataFrame, *keys: str) -> DataFrame:
-    """``sibling_chunk_ids``: the other chunks that agree on ``keys``, in order."""
-    whole = W.partitionBy("doc_id", *keys)
-    return chunks.withColumn("sibling_chunk_ids", _others(F.collect_list(F.struct("ord", "chunk_id")).over(whole)))
+    """``sibling_chunk_ids``: the other chunks that agree on ``keys``, in order; the list is gathered once for each group."""
+    whole = W.partitionBy("doc_id", *keys).orderBy("ord").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return chunks.withColumn("sibling_chunk_ids", F.array_remove(F.collect_list("chunk_id").over(whole), F.col("chunk_id")))
 
 
 def open_headings(heads: Column, seed: Column | None = None) -> Column:

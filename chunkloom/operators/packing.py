@@ -1,7 +1,11 @@
 """Greedy packing under a token budget, as folds over a row's own array.
 
-Each fold sees one section's sentences, one table's rows or one run's chunks; nothing crosses rows.
-Candidates are counted joined, as token counts need not add up.
+Each fold sees one section's sentences, one table's rows or one run's chunks; nothing crosses rows.  A fold
+gathers places of cuts, not texts: with a counter by length it adds lengths, and each piece is put together
+once.  Other counters count each candidate joined, as token counts need not add up.
+
+Defined cases: null texts give no pieces; a blank text gives none (its block stays whole); one item over the
+budget is a piece of its own; repeated document rows are one document each by their ``doc_id`` (see ``lines``).
 """
 
 from __future__ import annotations
@@ -14,46 +18,75 @@ from chunkloom.functions import text as T
 from chunkloom.functions.tokens import TokenCounter, chars4
 
 
-def _strings() -> Column:
-    return F.array().cast("array<string>")
-
-
 def prefix_of(title: Column) -> Column:
     """The clean title that stands before a chunk when its tokens are counted."""
     return F.coalesce(T.clean_title(title), F.lit(""))
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: a lambda sees a bound variable, not the expression."""
+    return F.transform(F.array(value), use)[0]
+
+
 def pack_sentences(text: Column, prefix: Column, budget: int, count: TokenCounter = chars4) -> Column:
-    """Pieces of whole sentences joined by a space; lines where a long text is one sentence."""
+    """Pieces of whole sentences joined by a space; lines where a long text is one sentence.
+
+    A further sentence is joined and the piece stripped, so a piece loses the space before its first item and after
+    each of the others.
+    """
     sized = lambda s: count(F.concat(prefix, F.lit("\n"), s)) <= budget
     sentences = F.split(T.strip(text), f"(?<=[.?!])[{T.SPACE}]+")
     single = (F.size(sentences) <= 1) & ~sized(text)
     items = F.when(single, F.filter(T.plain_lines(text), lambda x: ~T.is_blank(x))).otherwise(sentences)
+    piece = lambda own: F.when(F.size(own) == 1, own[0]).otherwise(F.array_join(F.transform(own, lambda s, i: F.when(i == 0, T.lstrip(s)).otherwise(T.rstrip(s))), " "))
+    of_length = getattr(count, "of_length", None)
+    if of_length is None:  # each candidate is joined and counted
+        fits = lambda a, s: sized(T.strip(F.concat(a["now"], F.lit(" "), s)))
+        step = lambda a, s, ok: F.when(ok, T.strip(F.concat(a["now"], F.lit(" "), s))).otherwise(s)
+        blank = F.lit("")
+        return _once(items, lambda own: _cut(own, own, fits, step, blank, piece))
+    room = lambda n: of_length(F.length(prefix) + 1 + n) <= budget
+    sizes = lambda own: F.transform(own, lambda s: F.struct(F.length(s).alias("n"), F.length(T.lstrip(s)).alias("left"), F.length(T.rstrip(s)).alias("right")))
+    joined = lambda a, x: a["now"] + 1 + x["right"]
+    return _once(items, lambda own: _cut(own, sizes(own), lambda a, x: room(joined(a, x)), lambda a, x, ok: F.when(ok, joined(a, x)).otherwise(x["left"]), F.lit(0), piece))
+
+
+def _cut(items: Column, sizes: Column, fits, step, zero: Column, piece) -> Column:
+    """Greedy groups of neighbours as pieces; ``fits`` and ``step`` see what is known of the open group and the next size.
+
+    Only the places of the cuts are gathered in the fold; each piece is put together once, after it.
+    """
+    start = F.struct(F.array().cast("array<int>").alias("cuts"), zero.alias("now"), F.lit(0).alias("i"))
 
-    def add(a: Column, s: Column) -> Column:
-        joined = F.when(a["now"] != "", T.strip(F.concat(a["now"], F.lit(" "), s))).otherwise(s)
-        fits = sized(joined)
-        done = F.when(fits | (a["now"] == ""), a["done"]).otherwise(F.array_append(a["done"], a["now"]))
-        return F.struct(done.alias("done"), F.when(fits, joined).otherwise(s).alias("now"))
+    def add(a: Column, x: Column) -> Column:
+        ok = (a["i"] > 0) & fits(a, x)
+        cuts = F.when(ok, a["cuts"]).otherwise(F.array_append(a["cuts"], a["i"]))
+        return F.struct(cuts.alias("cuts"), step(a, x, ok).alias("now"), (a["i"] + 1).alias("i"))
 
-    start = F.struct(_strings().alias("done"), F.lit("").alias("now"))
-    return F.aggregate(items, start, add, lambda a: F.when(a["now"] != "", F.array_append(a["done"], a["now"])).otherwise(a["done"]))
+    cuts = F.aggregate(sizes, start, add, lambda a: F.array_append(a["cuts"], a["i"]))
+    between = lambda found: F.transform(F.slice(found, F.lit(1), F.size(found) - 1), lambda c, k: piece(F.slice(items, c + 1, F.get(found, k + 1) - c)))
+    return F.filter(_once(cuts, between), lambda s: s != "")
 
 
 def pack_rows(table: Column, prefix: Column, budget: int, count: TokenCounter = chars4) -> Column:
     """Pieces of a table, each with its two header lines; short tables stay whole."""
-    rows = F.filter(F.split(table, "\n"), lambda x: ~T.is_blank(x))
-    head = F.array_join(F.slice(rows, 1, 2), "\n")
+    return _once(F.filter(F.split(table, "\n"), lambda x: ~T.is_blank(x)), lambda rows: _packed_rows(table, rows, prefix, budget, count))
 
-    def add(a: Column, row: Column) -> Column:
-        longer = F.concat(a["now"], F.lit("\n"), row)
-        fits = count(F.concat(prefix, F.lit("\n"), longer)) <= budget
-        done = F.when(fits | (a["n"] == 0), a["done"]).otherwise(F.array_append(a["done"], a["now"]))
-        now = F.when(fits, longer).otherwise(F.concat(head, F.lit("\n"), row))
-        return F.struct(done.alias("done"), now.alias("now"), F.when(fits, a["n"] + 1).otherwise(1).alias("n"))
 
-    start = F.struct(_strings().alias("done"), head.alias("now"), F.lit(0).alias("n"))
-    packed = F.aggregate(F.slice(rows, F.lit(3), F.greatest(F.size(rows) - 2, F.lit(0))), start, add, lambda a: F.array_append(a["done"], a["now"]))
+def _packed_rows(table: Column, rows: Column, prefix: Column, budget: int, count: TokenCounter) -> Column:
+    head = F.array_join(F.slice(rows, 1, 2), "\n")
+    body = F.slice(rows, F.lit(3), F.greatest(F.size(rows) - 2, F.lit(0)))
+    piece = lambda own: F.concat(head, F.lit("\n"), F.array_join(own, "\n"))
+    of_length = getattr(count, "of_length", None)
+    if of_length is None:
+        longer = lambda a, row: F.concat(a["now"], F.lit("\n"), row)
+        fits = lambda a, row: count(F.concat(prefix, F.lit("\n"), longer(a, row))) <= budget
+        step = lambda a, row, ok: F.when(ok, longer(a, row)).otherwise(F.concat(head, F.lit("\n"), row))
+        packed = _once(body, lambda own: _cut(own, own, fits, step, F.lit(""), piece))
+    else:
+        fits = lambda a, n: of_length(F.length(prefix) + 1 + a["now"] + 1 + n) <= budget
+        step = lambda a, n, ok: F.when(ok, a["now"]).otherwise(F.length(head)) + 1 + n
+        packed = _once(body, lambda own: _cut(own, F.transform(own, lambda r: F.length(r)), fits, step, F.lit(0), piece))
     return F.when(F.size(rows) <= 2, F.array(table)).otherwise(packed)
 
 
@@ -90,15 +123,14 @@ def merge_runs(chunks: DataFrame, least: int, budget: int, count: TokenCounter =
     )
 
     def add(a: Column, x: Column) -> Column:
-        apart = ((a["held"] >= least) & (x["tokens"] >= least)) | (a["held"] + x["tokens"] > budget) | a["code"]
-        flush = (a["n"] > 0) & apart
-        done = F.when(flush, F.array_append(a["done"], a["now"])).otherwise(a["done"])
-        now = F.when(flush | (a["n"] == 0), x["content"]).otherwise(F.concat(a["now"], x["content"]))
-        held = F.when(flush | (a["n"] == 0), x["tokens"]).otherwise(a["held"] + x["tokens"])
-        return F.struct(done.alias("done"), now.alias("now"), held.alias("held"), (a["n"] + 1).alias("n"), a["code"].alias("code"))
-
-    start = F.struct(_strings().alias("done"), F.lit("").alias("now"), F.lit(0).alias("held"), F.lit(0).alias("n"), (F.col("chunk_type") == "code").alias("code"))
-    merged = F.aggregate("items", start, add, lambda a: F.array_append(a["done"], a["now"]))
+        apart = (a["i"] == 0) | ((a["held"] >= least) & (x["tokens"] >= least)) | (a["held"] + x["tokens"] > budget) | (F.col("chunk_type") == "code")
+        cuts = F.when(apart, F.array_append(a["cuts"], a["i"])).otherwise(a["cuts"])
+        return F.struct(cuts.alias("cuts"), F.when(apart, x["tokens"]).otherwise(a["held"] + x["tokens"]).alias("held"), (a["i"] + 1).alias("i"))
+
+    start = F.struct(F.array().cast("array<int>").alias("cuts"), F.lit(0).alias("held"), F.lit(0).alias("i"))
+    grouped = grouped.withColumn("cuts", F.aggregate("items", start, add, lambda a: F.array_append(a["cuts"], a["i"])))
+    whole = lambda own: F.array_join(F.transform(own, lambda x: x["content"]), "")
+    merged = F.transform(F.slice("cuts", F.lit(1), F.size("cuts") - 1), lambda c, k: whole(F.slice("items", c + 1, F.get("cuts", k + 1) - c)))
     out = grouped.select("doc_id", "run", "title", "level", "chunk_type", F.posexplode(merged).alias("part", "content"))
     order = F.row_number().over(W.partitionBy("doc_id").orderBy("run", "part")) - 1
     return out.select("doc_id", order.alias("ord"), "title", "level", "chunk_type", "content")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,78 +34,100 @@ def propose_blocks(window_rows: DataFrame) -> DataFrame:
 
 
 def parsed(proposals: DataFrame) -> DataFrame:
-    """One row per proposed chunk: its keys and values, ``chunk_index``; ``problem`` names an attempt that cannot be read."""
+    """Attempts with ``items``, the proposed chunks as text; ``problem`` names an attempt that cannot be read."""
     raw = F.from_json("args_json", "chunks array<string>")
     problem = F.when(F.col("args_json").isNull(), "no tool call").when(F.get_json_object("args_json", "$").isNull(), "bad json").when(raw["chunks"].isNull(), "missing chunks")
-    rows = proposals.select(*KEY, problem.alias("problem"), F.posexplode_outer(raw["chunks"]).alias("chunk_index", "item"))
-    return rows.withColumn("keys", F.json_object_keys("item")).withColumn("c", F.from_json("item", ITEM)).select(*KEY, "problem", "chunk_index", "keys", "c.*")
+    return proposals.select(*KEY, problem.alias("problem"), raw["chunks"].alias("items"))
 
 
-def repaired(items: DataFrame, window_rows: DataFrame) -> DataFrame:
-    """Bounds moved past white space at both ends; spans of white space only stay."""
-    texts = window_rows.select("doc_id", "window_index", F.col("text").alias("window_text"), "oversized")
-    rows = items.join(texts, ["doc_id", "window_index"])
-    size = F.length("window_text")
-    inside = (F.col("start") >= 0) & (F.col("end") <= size) & (F.col("start") < F.col("end"))
-    own = F.substring("window_text", F.col("start").cast("int") + 1, (F.col("end") - F.col("start")).cast("int"))
-    lead = F.length(own) - F.length(F.regexp_replace(own, f"^[{T.SPACE}]+", ""))
-    tail = F.length(own) - F.length(T.rstrip(own))
-    full = inside & ~T.is_blank(own)
-    return rows.withColumns({"start": F.when(full, F.col("start") + lead).otherwise(F.col("start")), "end": F.when(full, F.col("end") - tail).otherwise(F.col("end")), "inside": F.coalesce(inside, F.lit(False)), "size": size})
+def _cut(text: Column, start: Column, end: Column) -> Column:
+    return F.substring(text, start.cast("int") + 1, (end - start).cast("int"))
+
+
+def repaired(text: Column, items: Column) -> Column:
+    """Proposed chunks with bounds moved past white space at both ends; spans of white space only stay.
+
+    ``complete`` and ``known`` tell whether the required keys are there and the type is one of the three, ``inside``
+    whether the bounds are a range of the text.
+    """
+
+    def read(item: Column, i: Column) -> Column:
+        missing = F.array_except(F.array(*map(F.lit, REQUIRED)), F.coalesce(F.json_object_keys(item), F.array().cast("array<string>")))
+        return F.struct(i.alias("chunk_index"), (F.size(missing) == 0).alias("complete"), F.from_json(item, ITEM).alias("v"))
+
+    def placed(x: Column) -> Column:
+        v = x["v"]
+        inside = F.coalesce((v["start"] >= 0) & (v["end"] <= F.length(text)) & (v["start"] < v["end"]), F.lit(False))
+        return F.struct(x["chunk_index"], x["complete"], v.alias("v"), inside.alias("inside"), F.when(inside, _cut(text, v["start"], v["end"])).alias("own"))
+
+    def trimmed(x: Column) -> Column:
+        v, own = x["v"], x["own"]
+        full = F.coalesce(~T.is_blank(own), F.lit(False))
+        start = F.when(full, v["start"] + F.length(own) - F.length(T.lstrip(own))).otherwise(v["start"])
+        end = F.when(full, v["end"] - F.length(own) + F.length(T.rstrip(own))).otherwise(v["end"])
+        known = F.coalesce(v["chunk_type"].isin("text", "code", "table"), F.lit(False))
+        kept = [v[c].alias(c) for c in ("title", "summary", "level", "chunk_type")]
+        return F.struct(start.alias("start"), end.alias("end"), x["chunk_index"].alias("chunk_index"), x["complete"].alias("complete"), known.alias("known"), x["inside"].alias("inside"), *kept)
 
+    return F.array_sort(F.transform(F.transform(F.transform(items, read), placed), trimmed))
 
-def snapped(rows: DataFrame, gap: int = 3) -> DataFrame:
-    """Ends extended over gaps of up to ``gap`` characters to the next start."""
-    w = W.partitionBy(*KEY).orderBy("start", "end", "chunk_index")
-    after = F.lead("start").over(w)
-    return rows.withColumn("end", F.when((after - F.col("end")).between(1, gap), after).otherwise(F.col("end")))
 
+def snapped(chunks: Column, gap: int = 3) -> Column:
+    """Ends extended over gaps of up to ``gap`` characters to the next start; ``overlap`` where a chunk starts before its neighbour's end."""
 
-def uncovered(rows: DataFrame) -> DataFrame:
-    """``(.., start, end)`` of stretches of a window that no chunk covers and that are not blank."""
-    w = W.partitionBy(*KEY).orderBy("start", "end", "chunk_index")
-    before = rows.select(*KEY, "window_text", F.coalesce(F.lag("end").over(w), F.lit(0)).alias("from"), F.col("start").alias("to"))
-    after = rows.groupBy(*KEY).agg(F.first("window_text").alias("window_text"), F.max("end").alias("from"), F.first("size").cast("long").alias("to"))
-    gaps = before.union(after).filter(F.col("from") < F.col("to"))
-    text = F.substring("window_text", F.col("from").cast("int") + 1, (F.col("to") - F.col("from")).cast("int"))
-    return gaps.filter(~T.is_blank(text)).select(*KEY, F.col("from").alias("start"), F.col("to").alias("end"))
+    def move(x: Column, i: Column) -> Column:
+        after, before = F.get(chunks, i + 1)["start"], F.get(chunks, i - 1)["end"]
+        end = F.when((after - x["end"]).between(1, gap), after).otherwise(x["end"])
+        kept = [x[c].alias(c) for c in ("chunk_index", "complete", "known", "inside", "title", "summary", "level", "chunk_type")]
+        return F.struct(x["start"].alias("start"), end.alias("end"), F.coalesce(before > x["start"], F.lit(False)).alias("overlap"), *kept)
+
+    return F.transform(chunks, move)
+
+
+def uncovered(text: Column, chunks: Column) -> Column:
+    """Stretches ``(start, end)`` of a text that no chunk (in order, all inside) covers and that are not blank."""
+    stretch = lambda a, b: F.struct(a.cast("bigint").alias("start"), b.cast("bigint").alias("end"))
+    before = F.transform(chunks, lambda x, i: stretch(F.coalesce(F.get(chunks, i - 1)["end"], F.lit(0)), x["start"]))
+    last = stretch(F.coalesce(F.array_max(F.transform(chunks, lambda x: x["end"])), F.lit(0)), F.length(text))
+    return F.filter(F.concat(before, F.array(last)), lambda g: (g["start"] < g["end"]) & ~T.is_blank(_cut(text, g["start"], g["end"])))
 
 
 def validated(proposals: DataFrame, window_rows: DataFrame, max_tokens: int = 1200, slack: float = 1.1, gap: int = 3, count: TokenCounter = chars4) -> tuple[DataFrame, DataFrame]:
     """``(chunks, attempts)``: repaired chunks of every attempt, and each attempt's ``is_valid, error_reasons``.
 
-    Checks run in stages, as a later one makes sense only after the earlier: keys and types, ranges,
-    overlaps, coverage and size.
+    Checks run in stages, as a later one makes sense only after the earlier: keys and types, ranges, overlaps,
+    coverage and size.  An attempt is one row with an array of its chunks, which meets its window's text once; no
+    step but that join and the sum of sizes moves rows.
+
+    Defined cases: an attempt of no known window has no text, so its chunks are out of range; null ids match nothing;
+    repeated attempts get equal verdicts; an empty table gives empty results.
     """
-    items = stored(parsed(proposals))
-    missing = F.array_except(F.array(*map(F.lit, REQUIRED)), F.coalesce("keys", F.array().cast("array<string>")))
-    rows = repaired(items.filter("problem is null and chunk_index is not null"), window_rows)
-    w = W.partitionBy(*KEY).orderBy("start", "end", "chunk_index")
-    first = rows.withColumn("early", F.when(F.size(missing) > 0, "missing keys"))
-    first = first.withColumn("kind", F.when(~F.coalesce(F.col("chunk_type").isin("text", "code", "table"), F.lit(False)), "bad type"))
-    first = first.withColumn("range", F.when(~F.col("inside"), "bad range")).withColumn("overlap", F.when(F.lag("end").over(w) > F.col("start"), "overlap"))
-    snap = snapped(first, gap)
-    content = F.substring("window_text", F.col("start").cast("int") + 1, (F.col("end") - F.col("start")).cast("int"))
-    snap = snap.withColumn("content", F.when(F.col("inside"), content))
-    limit = int(max_tokens * slack)
-    snap = snap.withColumn("large", F.when(~F.col("oversized") & (count(F.col("content")) > limit), "too large"))
-    snap = stored(snap)
-    per_attempt = snap.groupBy(*KEY).agg(*[F.max(c).alias(c) for c in ("early", "kind", "range", "overlap", "large")])
-    holes = uncovered(snap.filter("inside")).groupBy(*KEY).agg(F.lit("uncovered").alias("hole"))
-    heads = items.groupBy(*KEY).agg(F.max("problem").alias("problem"), F.count("chunk_index").alias("n"))
-    rows = heads.join(per_attempt, list(KEY), "left").join(holes, list(KEY), "left")
-    found = lambda *c: F.array_compact(F.array(*map(F.col, c)))
-    reasons = (
-        F.when(F.col("problem").isNotNull(), found("problem"))
-        .when(F.col("n") == 0, F.array(F.lit("uncovered")))
-        .when(F.col("early").isNotNull(), found("early"))
-        .when(F.size(found("kind", "range")) > 0, found("kind", "range"))
-        .when(F.col("overlap").isNotNull(), found("overlap"))
-        .otherwise(found("hole", "large"))
+    texts = window_rows.select("doc_id", "window_index", F.col("text").alias("window_text"), "oversized")
+    rows = parsed(proposals).join(texts, ["doc_id", "window_index"], "left")
+    text = F.col("window_text")
+    rows = rows.withColumn("c", repaired(text, F.col("items"))).withColumn("c", snapped(F.col("c"), gap))
+    rows = rows.withColumn("ins", F.filter("c", lambda x: x["inside"]))
+    rows = rows.withColumn("holes", uncovered(text, F.col("ins")))
+    fails = lambda test, name: F.when(F.exists("c", test), name)
+    early = fails(lambda x: ~x["complete"], "missing keys")
+    later = F.array_compact(F.array(fails(lambda x: ~x["known"], "bad type"), fails(lambda x: ~x["inside"], "bad range")))
+    first = (
+        F.when(F.col("problem").isNotNull(), F.array("problem"))
+        .when(F.size("items") == 0, F.array(F.lit("uncovered")))
+        .when(early.isNotNull(), F.array(early))
+        .when(F.size(later) > 0, later)
+        .when(F.exists("c", lambda x: x["overlap"]), F.array(F.lit("overlap")))
     )
-    attempts = rows.select(*KEY, (F.size(reasons) == 0).alias("is_valid"), reasons.alias("error_reasons"))
-    chunks = snap.select(*KEY, "chunk_index", "start", "end", "title", F.trim(F.coalesce("summary", F.lit(""))).alias("summary"), "level", "chunk_type", "content")
-    return chunks, attempts
+    cut = F.transform("c", lambda x: F.struct(x.alias("v"), F.when(x["inside"], _cut(text, x["start"], x["end"])).alias("content")))
+    rows = stored(rows.select(*KEY, "oversized", first.alias("first"), (F.size("holes") > 0).alias("hole"), cut.alias("c")))
+    chunks = rows.select(*KEY, "oversized", F.explode("c").alias("c")).select(*KEY, "oversized", "c.v.*", "c.content")
+    limit = int(max_tokens * slack)
+    large = chunks.filter(~F.col("oversized") & (count(F.col("content")) > limit)).select(*KEY).distinct().withColumn("large", F.lit("too large"))
+    heads = rows.select(*KEY, "first", F.when(F.col("hole"), "uncovered").alias("hole")).join(large, list(KEY), "left")
+    reasons = F.coalesce("first", F.array_compact(F.array("hole", "large")))
+    attempts = heads.select(*KEY, (F.size(reasons) == 0).alias("is_valid"), reasons.alias("error_reasons"))
+    out = chunks.select(*KEY, "chunk_index", "start", "end", "title", F.trim(F.coalesce("summary", F.lit(""))).alias("summary"), "level", "chunk_type", "content")
+    return out, attempts
 
 
 def accepted(chunks: DataFrame, attempts: DataFrame) -> DataFrame:

@@ -17,11 +17,11 @@ def _ordered(*by: str):
 
 
 def lines(md: DataFrame) -> DataFrame:
-    """``doc_id, line_no, line, start, end``: the lines of each text; end includes the terminator."""
+    """``doc_id, line_no, line, mark, start, end``: the lines of each text and their terminators; end includes the terminator."""
     rows = md.select("doc_id", F.posexplode(T.split_lines(F.col("markdown"))).alias("line_no", "l"))
     size = F.length("l.line") + F.length("l.mark")
     end = F.sum(size).over(_ordered("line_no")).cast("int")
-    return rows.select("doc_id", "line_no", F.col("l.line").alias("line"), (end - size).cast("int").alias("start"), end.alias("end"))
+    return rows.select("doc_id", "line_no", F.col("l.line").alias("line"), F.col("l.mark").alias("mark"), (end - size).cast("int").alias("start"), end.alias("end"))
 
 
 def headings(line_rows: DataFrame) -> DataFrame:

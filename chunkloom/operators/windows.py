@@ -27,11 +27,13 @@ def blocks(md: DataFrame, count: TokenCounter = chars4) -> DataFrame:
     opens = (F.col("kind") != "blank") & (F.col("kind") != F.coalesce(F.lag("kind").over(w), F.lit("blank")))
     number = F.greatest(F.sum(opens.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)), F.lit(1)).cast("int")
     full = F.max((F.col("kind") != "blank").cast("int"))
+    # the text is put together from the lines: a substring of the whole text would be searched for from its start
+    held = F.array_sort(F.collect_list(F.struct("line_no", F.concat("line", "mark").alias("t"))))
     out = rows.withColumn("block_no", number - 1).groupBy("doc_id", "block_no").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.max(F.when(F.col("kind") != "blank", F.col("kind"))).alias("type"), full.alias("full")
-    )
-    text = F.substring("markdown", F.col("start") + 1, F.col("end") - F.col("start"))
-    out = out.filter("full = 1").join(md.select("doc_id", "markdown"), "doc_id").withColumn("text", text)
+        F.min("start").alias("start"), F.max("end").alias("end"), F.max(F.when(F.col("kind") != "blank", F.col("kind"))).alias("type"), full.alias("full"),
+        F.array_join(F.transform(held, lambda r: r["t"]), "").alias("text"),
+    )
+    out = out.filter("full = 1")
     return out.select("doc_id", "block_no", "start", "end", "type", "text", count(F.col("text")).alias("tokens"))
 
 

@@ -115,7 +115,7 @@ def leading_paths(spark, sf):
 
 def paragraph_spans(spark, sf):
     whole = _md(spark, sf).select("doc_id", F.lit(0).alias("window_index"), F.col("markdown").alias("text"))
-    return paragraphs.paragraphs(whole, 400, 1200).select("doc_id", "paragraph_id", "start", "end")
+    return paragraphs.paragraph_bounds(paragraphs.paragraph_lines(whole), 400, 1200).select("doc_id", "paragraph_id", "start", "end")
 
 
 def _scripted(spark, sf):
@@ -160,7 +160,7 @@ def fallback_windows(spark, sf):
 
 def proposal_offsets(spark, sf):
     whole = _md(spark, sf).select("doc_id", F.lit(0).alias("window_index"), F.col("markdown").alias("text"))
-    rows = stored(paragraphs.paragraphs(whole, 400, 1200).drop("text"))
+    rows = stored(paragraphs.paragraph_bounds(paragraphs.paragraph_lines(whole), 400, 1200))
     n = F.col("doc_id").cast("long")
     pairs = rows.groupBy("doc_id", "window_index", F.floor(F.col("paragraph_id") / 2).cast("int").alias("chunk_index")).agg(F.min("paragraph_id").alias("a"), F.max("paragraph_id").alias("b"))
     ranges = pairs.select(
