@@ -26,7 +26,7 @@ def fallback_chunks(window_rows: DataFrame, least: int = 300, budget: int = 1200
     """Windows split by rule, without links."""
     key = F.concat_ws(":", "doc_id", F.col("window_index").cast("string"))
     keyed = window_rows.withColumn("k", key)
-    rows = rule_split(keyed.select(F.col("k").alias("doc_id"), "source", F.col("text").alias("markdown")), least, budget, count)
+    rows = rule_split(keyed.select(F.col("k").alias("doc_id"), "source", F.col("text").alias("markdown")), least, budget, count, True)
     rows = rows.select(F.col("doc_id").alias("k"), F.col("ord").alias("chunk_index"), "title", F.lit("").alias("summary"), "level", "chunk_type", "content", F.lit("fallback").alias("producer"))
     return keyed.select("k", "doc_id", "source", "window_index").join(rows, "k").drop("k")
 

@@ -31,6 +31,15 @@ def with_siblings(chunks: DataFrame, *keys: str) -> DataFrame:
     return chunks.withColumn("sibling_chunk_ids", F.array_remove(F.collect_list("chunk_id").over(whole), F.col("chunk_id")))
 
 
+def broken_links(chunks: DataFrame) -> DataFrame:
+    """``doc_id, chunk_id, kind, target`` of links to ids that no chunk has; empty for whole sets of chunks."""
+    one = lambda c: F.array(F.struct(F.lit(c.split("_")[0]).alias("kind"), F.col(c).alias("target")))
+    lists = [F.transform("sibling_chunk_ids", lambda x: F.struct(F.lit("sibling").alias("kind"), x.alias("target"))), F.transform("parent_titles", lambda x: F.struct(F.lit("title").alias("kind"), x["chunk_id"].alias("target")))]
+    links = chunks.select("doc_id", "chunk_id", F.explode(F.concat(*map(one, ("parent_chunk_id", "prev_chunk_id", "next_chunk_id")), *lists)).alias("l")).select("doc_id", "chunk_id", "l.*")
+    known = chunks.select(F.col("chunk_id").alias("target")).distinct()
+    return links.filter("target is not null").join(known, "target", "left_anti").select("doc_id", "chunk_id", "kind", "target")
+
+
 def open_headings(heads: Column, seed: Column | None = None) -> Column:
     """For each prefix of an array of headings (level, title, id), the empty one first, the headings open after it."""
     empty = F.array().cast(_PATH)

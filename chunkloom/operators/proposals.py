@@ -14,29 +14,66 @@ from pyspark.sql import functions as F
 
 from chunkloom.functions import text as T
 from chunkloom.functions.tokens import TokenCounter, chars4
+from chunkloom.operators.paragraphs import paragraphs
 from chunkloom.operators.windows import blocks
 from chunkloom.sources.shared import stored
 
 BoundaryProvider = Callable[[DataFrame], DataFrame]
 KEY = ("doc_id", "window_index", "attempt")
-ITEM = "start bigint, end bigint, title string, chunk_type string, summary string, level int"
+# The keys of a chunk's metadata.
+METADATA = "summary string, document_type string, keywords array<string>, topics array<string>, entities array<string>, references array<string>, questions array<string>, action_items array<string>"
+ITEM = f"start bigint, end bigint, title string, chunk_type string, summary string, level int, metadata struct<{METADATA.replace(' ', ':').replace(',:', ',')}>"
+# The keys that a proposed chunk must have.
 REQUIRED = ("start", "end", "title", "chunk_type")
 
 
+def propose_paragraphs(window_rows: DataFrame, least: int = 1600, most: int = 4800) -> DataFrame:
+    """One attempt per window: a chunk for each paragraph, through the same steps as a model's answer by paragraph."""
+    spans = stored(paragraphs(window_rows, least, most))
+    number = F.col("paragraph_id")
+    item = F.struct(number.alias("start_paragraph"), number.alias("end_paragraph"), F.lit("").alias("title"), F.lit("").alias("summary"), T.chunk_type(F.col("text")).alias("chunk_type"))
+    lists = spans.groupBy("doc_id", "window_index").agg(F.array_sort(F.collect_list(item)).alias("chunks"))
+    return from_paragraphs(lists.select("doc_id", "window_index", F.lit(1).alias("attempt"), F.to_json(F.struct("chunks")).alias("args_json")), spans)
+
+
+def from_paragraphs(answers: DataFrame, paragraph_rows: DataFrame) -> DataFrame:
+    """Answers by paragraph number ``(doc_id, window_index, attempt, args_json[, problem])`` as proposals by offset.
+
+    ``problem`` names answers that cannot be read, are empty, or whose ranges do not follow each other.
+    """
+    kind = "array<struct<start_paragraph:int,end_paragraph:int,title:string,summary:string,chunk_type:string>>"
+    raw = F.from_json("args_json", f"chunks {kind}")["chunks"]
+    bad = F.when(F.col("args_json").isNull(), "no tool call").when(F.get_json_object("args_json", "$").isNull(), "bad json").when(raw.isNull(), "missing chunks").when(F.size(raw) == 0, "empty chunks")
+    if "problem" in answers.columns:
+        bad = F.coalesce("problem", bad)
+    rows = stored(answers.select(*KEY, bad.alias("problem"), raw.alias("chunks")))
+    ranges = rows.filter("problem is null").select(*KEY, F.posexplode("chunks").alias("chunk_index", "c")).select(*KEY, "chunk_index", "c.*")
+    found = by_paragraph(ranges, paragraph_rows).join(ranges.select(*KEY, "chunk_index", "title", "summary", "chunk_type"), [*KEY, "chunk_index"])
+    item = F.struct("chunk_index", "start", "end", "title", "summary", "chunk_type", F.lit(None).cast("int").alias("level"))
+    lists = found.groupBy(*KEY).agg(F.max("error").alias("error"), F.array_sort(F.collect_list(item)).alias("chunks"))
+    out = rows.select(*KEY, "problem").join(lists, list(KEY), "left")
+    return out.select(*KEY, F.to_json(F.struct("chunks")).alias("args_json"), F.coalesce("problem", "error").alias("problem"))
+
+
 def propose_blocks(window_rows: DataFrame) -> DataFrame:
     """One attempt per window: a chunk for each block, titled by the last open heading."""
     keys = F.concat_ws(":", "doc_id", F.col("window_index").cast("string"))
-    parts = blocks(window_rows.select(keys.alias("doc_id"), F.col("text").alias("markdown"))).withColumnRenamed("doc_id", "k")
+    parts = blocks(window_rows.select(keys.alias("doc_id"), F.col("text").alias("markdown")), unique=True).withColumnRenamed("doc_id", "k")
     item = F.struct("block_no", "start", "end", F.lit("").alias("title"), F.col("type").alias("chunk_type"), F.lit("").alias("summary"))
     lists = parts.groupBy("k").agg(F.array_sort(F.collect_list(item)).alias("chunks"))
     rows = window_rows.withColumn("k", keys).join(lists, "k")
     return rows.select("doc_id", "window_index", F.lit(1).alias("attempt"), F.to_json(F.struct("chunks")).alias("args_json"))
 
 
+propose_blocks.fixed = propose_paragraphs.fixed = True
+
+
 def parsed(proposals: DataFrame) -> DataFrame:
     """Attempts with ``items``, the proposed chunks as text; ``problem`` names an attempt that cannot be read."""
     raw = F.from_json("args_json", "chunks array<string>")
     problem = F.when(F.col("args_json").isNull(), "no tool call").when(F.get_json_object("args_json", "$").isNull(), "bad json").when(raw["chunks"].isNull(), "missing chunks")
+    if "problem" in proposals.columns:
+        problem = F.coalesce("problem", problem)
     return proposals.select(*KEY, problem.alias("problem"), raw["chunks"].alias("items"))
 
 
@@ -66,7 +103,7 @@ def repaired(text: Column, items: Column) -> Column:
         start = F.when(full, v["start"] + F.length(own) - F.length(T.lstrip(own))).otherwise(v["start"])
         end = F.when(full, v["end"] - F.length(own) + F.length(T.rstrip(own))).otherwise(v["end"])
         known = F.coalesce(v["chunk_type"].isin("text", "code", "table"), F.lit(False))
-        kept = [v[c].alias(c) for c in ("title", "summary", "level", "chunk_type")]
+        kept = [v[c].alias(c) for c in ("title", "summary", "level", "chunk_type", "metadata")]
         return F.struct(start.alias("start"), end.alias("end"), x["chunk_index"].alias("chunk_index"), x["complete"].alias("complete"), known.alias("known"), x["inside"].alias("inside"), *kept)
 
     return F.array_sort(F.transform(F.transform(F.transform(items, read), placed), trimmed))
@@ -78,7 +115,7 @@ def snapped(chunks: Column, gap: int = 3) -> Column:
     def move(x: Column, i: Column) -> Column:
         after, before = F.get(chunks, i + 1)["start"], F.get(chunks, i - 1)["end"]
         end = F.when((after - x["end"]).between(1, gap), after).otherwise(x["end"])
-        kept = [x[c].alias(c) for c in ("chunk_index", "complete", "known", "inside", "title", "summary", "level", "chunk_type")]
+        kept = [x[c].alias(c) for c in ("chunk_index", "complete", "known", "inside", "title", "summary", "level", "chunk_type", "metadata")]
         return F.struct(x["start"].alias("start"), end.alias("end"), F.coalesce(before > x["start"], F.lit(False)).alias("overlap"), *kept)
 
     return F.transform(chunks, move)
@@ -126,10 +163,18 @@ def validated(proposals: DataFrame, window_rows: DataFrame, max_tokens: int = 12
     heads = rows.select(*KEY, "first", F.when(F.col("hole"), "uncovered").alias("hole")).join(large, list(KEY), "left")
     reasons = F.coalesce("first", F.array_compact(F.array("hole", "large")))
     attempts = heads.select(*KEY, (F.size(reasons) == 0).alias("is_valid"), reasons.alias("error_reasons"))
-    out = chunks.select(*KEY, "chunk_index", "start", "end", "title", F.trim(F.coalesce("summary", F.lit(""))).alias("summary"), "level", "chunk_type", "content")
+    summary = T.strip(F.coalesce("summary", F.lit("")))
+    out = chunks.select(*KEY, "chunk_index", "start", "end", "title", summary.alias("summary"), "level", "chunk_type", "content", *normalised())
     return out, attempts
 
 
+def normalised() -> list[Column]:
+    """What every chunk carries whatever was proposed: type, flags from the type, and metadata with all its keys."""
+    kind, meta = F.col("chunk_type"), F.col("metadata")
+    filled = [F.coalesce(meta[c], F.lit("") if kind_ == "string" else F.array().cast(kind_)).alias(c) for c, kind_ in (x.split() for x in METADATA.split(", "))]
+    return [kind.alias("primary_type"), *((kind == c).alias(f"has_{c}") for c in ("text", "code", "table")), F.struct(*filled).alias("metadata")]
+
+
 def accepted(chunks: DataFrame, attempts: DataFrame) -> DataFrame:
     """Chunks of the first valid attempt of each window, in order of their bounds."""
     best = attempts.filter("is_valid").groupBy("doc_id", "window_index").agg(F.min("attempt").alias("attempt"))

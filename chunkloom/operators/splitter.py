@@ -10,9 +10,9 @@ from chunkloom.operators import links, packing, structure
 from chunkloom.sources.shared import stored
 
 
-def rule_chunks(md: DataFrame, least: int | None = 300, budget: int | None = 1200, count: TokenCounter = chars4) -> DataFrame:
+def rule_chunks(md: DataFrame, least: int | None = 300, budget: int | None = 1200, count: TokenCounter = chars4, unique: bool = False) -> DataFrame:
     """Chunks without links: ``doc_id, ord, title, level, chunk_type, content``."""
-    chunks = structure.typed_blocks(structure.lines(md)).drop("section")
+    chunks = structure.typed_blocks(structure.lines(md, unique)).drop("section")
     if budget is not None:
         chunks = packing.split_oversized(chunks, budget, count)
     if budget is not None and least is not None:
@@ -20,9 +20,13 @@ def rule_chunks(md: DataFrame, least: int | None = 300, budget: int | None = 120
     return chunks
 
 
-def rule_split(md: DataFrame, least: int | None = 300, budget: int | None = 1200, count: TokenCounter = chars4) -> DataFrame:
-    """The splitter end to end, one row per linked chunk."""
-    rows = links.with_neighbours(links.with_ids(stored(rule_chunks(md, least, budget, count))))
+def rule_split(md: DataFrame, least: int | None = 300, budget: int | None = 1200, count: TokenCounter = chars4, unique: bool = False) -> DataFrame:
+    """The splitter end to end, one row per linked chunk; ``unique`` says that ids are known to differ.
+
+    Defined cases as for lines: one row for each ``doc_id``, none without, and nothing for blank texts.
+    """
+    md = md if unique else stored(structure.documents(md))
+    rows = links.with_neighbours(links.with_ids(stored(rule_chunks(md, least, budget, count, True))))
     rows = links.with_titles(links.with_parents(links.with_paths(rows)))
     rows = links.with_siblings(rows, "run")
     titles = F.array_join(F.transform("parent_titles", lambda t: t["title"]), " > ")

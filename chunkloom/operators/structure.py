@@ -1,6 +1,10 @@
 """Lines, headings, sections and typed blocks of markdown texts, by running window functions.
 
 All windows are partitioned by ``doc_id``, so one shuffle serves the whole chain.
+
+Defined cases, for these operators and those that start from them: of rows with one ``doc_id`` one is taken (the least
+hash of its text, so the same in each run); rows without ``doc_id`` are left out, as nothing could be linked to them; a
+null text is empty and has no lines; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,8 +20,16 @@ def _ordered(*by: str):
     return W.partitionBy("doc_id").orderBy(*by).rowsBetween(W.unboundedPreceding, 0)
 
 
-def lines(md: DataFrame) -> DataFrame:
+def documents(md: DataFrame) -> DataFrame:
+    """One row for each ``doc_id`` of ``md(doc_id, markdown[, user_id, source])``."""
+    own = [c for c in ("user_id", "source", "markdown") if c in md.columns]
+    row = F.min_by(F.struct(*own), F.xxhash64(*own)).alias("r")
+    return md.filter("doc_id is not null").groupBy("doc_id").agg(row).select("doc_id", "r.*")
+
+
+def lines(md: DataFrame, unique: bool = False) -> DataFrame:
     """``doc_id, line_no, line, mark, start, end``: the lines of each text and their terminators; end includes the terminator."""
+    md = md if unique else documents(md)
     rows = md.select("doc_id", F.posexplode(T.split_lines(F.col("markdown"))).alias("line_no", "l"))
     size = F.length("l.line") + F.length("l.mark")
     end = F.sum(size).over(_ordered("line_no")).cast("int")

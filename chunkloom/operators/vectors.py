@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable
 
 import numpy as np
@@ -12,6 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from chunkloom.functions.tokens import truncated
+
 Embedder = Callable[[list[str]], np.ndarray]
 
 
@@ -49,21 +52,33 @@ def hashed_embedder(size: int) -> Embedder:
     return embed
 
 
-def dense_vectors(texts: DataFrame, embed: Embedder, size: int, batch: int = 16, attempts: int = 3, token_cap: int = 8000) -> DataFrame:
-    """``texts(id, text)`` with ``vector`` and ``embed_ok``; texts whose batch keeps failing get a zero vector.
+def dense_vectors(
+    texts: DataFrame, embed: Embedder, size: int, batch: int = 16, attempts: int = 3, token_cap: int = 8000, vocabulary: str | None = None, wait: float = 1.0
+) -> DataFrame:
+    """``texts(.., text)`` with ``vector`` and ``embed_ok``; texts whose batch fails get a zero vector.
+
+    Errors whose message shows a limit or a server fault are tried again after 1, 2, 4 .. times ``wait`` seconds; any
+    other fails the batch at once, and never the job.  Texts are cut at ``token_cap`` tokens of ``vocabulary``, a
+    tokenizer's file, or of the estimate.  ``batch=1, attempts=1`` is the way of a local model.
 
-    Provider errors are tried again where their message shows a limit or a server fault.
+    Defined cases: a null text is empty; repeated rows are embedded each; columns of these two names are replaced;
+    an empty table gives an empty result.
     """
+    texts = texts.drop("vector", "embed_ok")
     schema = StructType(texts.schema.fields + StructType.fromDDL("vector array<float>, embed_ok boolean").fields)
 
     def vectors(part: list[str]) -> tuple[np.ndarray, bool]:
-        for _ in range(attempts):
+        for turn in range(attempts):
             try:
-                return embed([t[: 4 * token_cap] for t in part]), True
+                found = np.asarray(embed(truncated(part, token_cap, vocabulary)), np.float32)
+                if found.shape == (len(part), size):
+                    return found, True
+                break
             except Exception as error:  # noqa: BLE001  the provider's own exception types are not known here
                 said = str(error).lower()
-                if not any(x in said for x in ("429", "rate", "500", "503")):
-                    raise
+                if turn + 1 == attempts or not any(x in said for x in ("429", "rate", "500")):
+                    break
+                time.sleep(wait * 2**turn)
         return np.zeros((len(part), size), np.float32), False
 
     def run(batches):
@@ -78,14 +93,37 @@ def dense_vectors(texts: DataFrame, embed: Embedder, size: int, batch: int = 16,
     return texts.mapInPandas(run, schema)
 
 
+def sparse_vectors(texts: DataFrame) -> DataFrame:
+    """``id, indices, values``: the BM25 weights of each text as a sparse vector over 31-bit term hashes, in order of index."""
+    weights = sparse_bm25(texts).select("id", F.xxhash64("term").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("i"), "weight")
+    held = F.array_sort(F.collect_list(F.struct("i", "v")))
+    rows = weights.groupBy("id", "i").agg(F.sum("weight").cast("float").alias("v")).groupBy("id").agg(held.alias("e"))
+    return rows.select("id", F.transform("e", lambda x: x["i"]).alias("indices"), F.transform("e", lambda x: x["v"]).alias("values"))
+
+
 def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+    return dot(a, b) / F.nullif(F.sqrt(dot(a, a) * dot(b, b)), F.lit(0.0))
 
 
-def topk_cosine(queries: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
-    """``query_id, vec_id, similarity, rank`` of the k nearest ``vectors(vec_id, embedding)`` of each of a bounded set of ``queries``."""
-    pairs = vectors.join(F.broadcast(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))))
-    scored = pairs.select("query_id", "vec_id", F.round(cosine(F.col("query"), F.col("embedding")), 9).alias("similarity"))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id"))
-    return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
+def topk_cosine(queries: DataFrame, vectors: DataFrame, k: int = 10, broadcast_rows: int = 1 << 16) -> DataFrame:
+    """``query_id, vec_id, similarity, rank`` of the k nearest ``vectors(vec_id, embedding)`` of each of ``queries``.
+
+    The stated queries meet every vector.  Up to ``broadcast_rows`` of them go to the executors at once; beyond it they
+    go in blocks of that size, each of which leaves its k best, so no larger set is ever broadcast.
+
+    Defined cases: vectors of another length or without length have no similarity and come last; a null embedding is
+    left out; ties go by id; repeated rows are ranked each.
+    """
+    queries = queries.filter("embedding is not null").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    n = queries.count()
+    blocks = max(1, -(-n // broadcast_rows))
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc_nulls_last("similarity"), "vec_id"))
+    out = None
+    for b in range(blocks):
+        some = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
+        pairs = vectors.filter("embedding is not null").join(F.broadcast(some))
+        scored = pairs.select("query_id", "vec_id", F.round(cosine(F.col("query"), F.col("embedding")), 9).alias("similarity"))
+        best = scored.withColumn("rank", rank).filter(F.col("rank") <= k)
+        out = best if out is None else out.unionByName(best)
+    return out

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from chunkloom.functions import text as T
 from chunkloom.functions.tokens import TokenCounter, chars4
 from chunkloom.operators.links import open_headings
-from chunkloom.operators.structure import headings, lines
+from chunkloom.operators.structure import documents, headings, lines
 from chunkloom.sources.shared import stored
 
 _WINDOW = "array<struct<start:int,end:int,tokens:int,oversized:boolean>>"
 
 
-def blocks(md: DataFrame, count: TokenCounter = chars4) -> DataFrame:
+def blocks(md: DataFrame, count: TokenCounter = chars4, unique: bool = False) -> DataFrame:
     """``doc_id, block_no, start, end, type, text, tokens``: paragraphs and pipe tables that cover the text.
 
     Blank lines belong to the block before them, leading ones to the first block; fences are plain text.
@@ -23,7 +23,7 @@ def blocks(md: DataFrame, count: TokenCounter = chars4) -> DataFrame:
     w = W.partitionBy("doc_id").orderBy("line_no")
     s = T.strip(F.col("line"))
     kind = F.when(s == "", "blank").when(T.is_table_line(s), "table").otherwise("text")
-    rows = lines(md).withColumn("kind", kind)
+    rows = lines(md, unique).withColumn("kind", kind)
     opens = (F.col("kind") != "blank") & (F.col("kind") != F.coalesce(F.lag("kind").over(w), F.lit("blank")))
     number = F.greatest(F.sum(opens.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)), F.lit(1)).cast("int")
     full = F.max((F.col("kind") != "blank").cast("int"))
@@ -64,12 +64,13 @@ def pack_windows(block_rows: DataFrame, budget: int) -> DataFrame:
 
 def windows(md: DataFrame, budget: int = 8000, threshold: int = 6000, count: TokenCounter = chars4) -> DataFrame:
     """Windows with their text and ``leading_heading_path``; texts of up to ``threshold`` tokens are one window."""
+    md = documents(md)
     total = count(F.col("markdown"))
     small = md.filter(total <= threshold).select("doc_id", F.lit(0).alias("window_index"), F.lit(0).alias("start"), F.length("markdown").alias("end"), total.alias("token_count"), F.lit(False).alias("oversized"))
-    packed = pack_windows(blocks(md.filter(total > threshold), count), budget)
+    packed = pack_windows(blocks(md.filter(total > threshold), count, True), budget)
     rows = small.unionByName(packed).join(md.select("doc_id", "source", "markdown"), "doc_id")
     rows = rows.withColumn("text", F.substring("markdown", F.col("start") + 1, F.col("end") - F.col("start"))).drop("markdown")
-    found = headings(lines(md)).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "level", "title"))).alias("h"))
+    found = headings(lines(md, True)).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "level", "title"))).alias("h"))
     heads = F.transform("h", lambda h: F.struct(h["level"].cast("int").alias("level"), h["title"].alias("title"), F.lit(None).cast("string").alias("id")))
     found = stored(found.withColumn("paths", open_headings(heads)))
     rows = rows.join(found, "doc_id", "left")

@@ -175,9 +175,16 @@ def assembled_chunks(spark, sf):
     return rows.select("doc_id", "ord", "chunk_id", "parent_chunk_id", "prev_chunk_id", "next_chunk_id", F.size("sibling_chunk_ids").alias("n_siblings"), F.size("parent_titles").alias("depth"), "producer", "token_count", F.md5("embedding_text").alias("digest"))
 
 
+def _point_columns(rows):
+    sparse = F.transform(F.coalesce("sparse.indices", F.array().cast("array<int>")), lambda i: i.cast("string"))
+    return rows.select(
+        "collection", "id", "payload.doc_id", "payload.chunk_type", "payload.token_count", "payload.has_table", F.size("payload.parent_titles").alias("depth"),
+        F.md5("payload.content").alias("digest"), F.size("vector").alias("vector_size"), "embed_ok", F.size(sparse).alias("n_terms"),
+    )
+
+
 def points(spark, sf):
-    out = ingest(_md(spark, sf), use=SMALL)
-    return out.select("collection", "id", "payload.doc_id", "payload.chunk_type", "payload.token_count", "payload.has_table")
+    return _point_columns(ingest(_md(spark, sf), use=SMALL))
 
 
 def job_stream(spark, sf):
@@ -185,9 +192,38 @@ def job_stream(spark, sf):
     md, folder = stored(_md(spark, sf)), fresh(spark, "jobs")
     named = md.filter("doc_id is not null").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("job_id"), "user_id", F.col("doc_id").alias("object_key"))
     named.repartition(4, "job_id").write.json(f"{folder}/messages")
-    jobs.run_jobs(jobs.job_stream(spark, f"{folder}/messages"), md, lambda rows: ingest(rows, use=SMALL), f"{folder}/out", f"{folder}/checkpoint")
-    out = spark.read.parquet(f"{folder}/out/points")
-    return out.select("collection", "id", "payload.doc_id", "payload.chunk_type", "payload.token_count", "payload.has_table")
+    tables = jobs.run_jobs(jobs.job_stream(spark, f"{folder}/messages", 4), md, lambda rows: ingest(rows, use=SMALL), f"{folder}/out", f"{folder}/checkpoint")
+    return _point_columns(tables.points.current())
+
+
+def embedding_text(spark, sf):
+    rows = linked_chunks(_md(spark, sf), use=SMALL)
+    return rows.select("chunk_id", F.length("embedding_text").alias("size"), F.md5("embedding_text").alias("digest"), "token_count")
+
+
+def payload_check(spark, sf):
+    """Links of the assembled chunks that lead nowhere, and payload keys that are missing: none."""
+    rows = stored(linked_chunks(_md(spark, sf), use=SMALL))
+    missing = sinks.first_missing_key(sinks.with_payload_defaults(rows).columns)
+    broken = links.broken_links(rows).agg(F.count("*").alias("n_broken"))
+    return broken.select("n_broken", F.lit(missing).cast("string").alias("missing_key"), F.lit(len(sinks.PAYLOAD)).alias("n_keys"))
+
+
+def job_log(spark, sf):
+    """Job records of orders: times in the records' zone, elapsed time, status messages."""
+    rows = _table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("job_id"), F.col("o_custkey").cast("string").alias("user_id"), F.concat(F.lit("doc"), "o_orderkey").alias("doc_id"), F.when(F.col("o_orderstatus") == "F", "done").otherwise("failed").alias("status"), F.col("o_orderpriority").alias("msg"), "o_orderdate", "o_orderkey")
+    start = F.col("o_orderdate").cast("timestamp")
+    out = sinks.log_record(rows, start, start + F.make_interval(secs=F.col("o_orderkey") * 7))
+    return out.select("id", "user_id", "doc", "task.error", "task.msg", "time.start", "time.elapsed", F.col("time.end").alias("end_"), "time.tz")
+
+
+def job_messages(spark, sf):
+    """Messages for the finished and the failed queue, and status callbacks."""
+    rows = _table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("job_id"), F.col("o_custkey").cast("string").alias("user_id"), F.expr("case o_orderstatus when 'F' then 'done' when 'O' then 'failed' else 'started' end").alias("status"))
+    finished, failed = sinks.notifications(rows)
+    sent = finished.withColumn("queue", F.lit("finished")).unionByName(failed.withColumn("queue", F.lit("failed")))
+    calls = sinks.callbacks(rows, "embedding").select(F.col("id").alias("job_id"), F.col("user-id").alias("user_id"), "stage", F.col("jobSuccessful").alias("ok"))
+    return sent.join(calls, "job_id")
 
 
 def payload_defaults(spark, sf):
@@ -257,7 +293,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         lines, headings, sections, typed_blocks, sentence_pack, table_pack, run_merge, rule_chunks, chunk_ids, seq_links, siblings, parents, title_paths, blocks,
-        window_packing, leading_paths, paragraph_spans, validation, gap_snap, first_valid_attempt, fallback_windows, proposal_offsets, assembled_chunks, points, job_stream, payload_defaults,
+        window_packing, leading_paths, paragraph_spans, validation, gap_snap, first_valid_attempt, fallback_windows, proposal_offsets, assembled_chunks, points, job_stream, embedding_text, payload_check, job_log, job_messages, payload_defaults,
         retry_routing, sparse_bm25, dense_vectors, topk_cosine, upsert_latest, log_insert, log_replace, upsert_batches, message_split, html_markdown, input_guards,
     )
 }

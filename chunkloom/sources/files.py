@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chunkloom.sources.sinks import KeyedTable
+
 JOB = "job_id string, user_id string, object_key string"
 
 
@@ -28,9 +30,17 @@ def jobs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(JOB).json(path)
 
 
-def write_markdown(md: DataFrame, path: str) -> None:
-    """Markdown texts as one row each, by user."""
-    md.select("user_id", "doc_id", "markdown").write.mode("overwrite").partitionBy("user_id").parquet(path)
+def write_markdown(md: DataFrame, path: str, version: int = 0) -> None:
+    """Saves markdown texts, one row for each ``user_id, doc_id``; other documents stay, a saved one is replaced.
+
+    The name of a saved document is its own with the ending ``md``.
+    """
+    name = F.concat(F.regexp_replace("doc_id", r"\.[^./]*$", ""), F.lit(".md"))
+    KeyedTable(md.sparkSession, path, ["user_id", "doc_id"]).upsert(md.select("user_id", "doc_id", name.alias("file"), "markdown"), version)
+
+
+def saved_markdown(spark: SparkSession, path: str) -> DataFrame:
+    return KeyedTable(spark, path, ["user_id", "doc_id"]).current()
 
 
 def input_error(md: DataFrame) -> Column:

@@ -218,22 +218,51 @@ def test_sources(spark, tmp_path):
 
 
 def test_job_stream(spark, md, tmp_path):
-    documents = md("# A\n\nhello there", "# B\n\nsecond").cache()
+    documents = md("# A\n\nhello there", "# B\n\nsecond", "bad", " ").cache()
     (tmp_path / "jobs").mkdir()
-    for i, key in enumerate(["0", "1", "missing"]):
+    for i, key in enumerate(["0", "1", "missing", "2", "3"]):
         (tmp_path / "jobs" / f"{i}.json").write_text(json.dumps({"job_id": f"j{i}", "user_id": "u", "object_key": key}))
+
+    def fragile(rows):
+        if not rows.filter("markdown = 'bad'").isEmpty():
+            raise RuntimeError("cannot read")
+        return ingest(rows)
+
     beat = Heartbeat()
     spark.streams.addListener(beat)
     for _ in range(2):  # a second run finds nothing new
-        run_jobs(job_stream(spark, str(tmp_path / "jobs")), documents, ingest, str(tmp_path / "out"), str(tmp_path / "check"))
+        tables = run_jobs(job_stream(spark, str(tmp_path / "jobs"), 9), documents, fragile, str(tmp_path / "out"), str(tmp_path / "check"))
     spark.streams.removeListener(beat)
-    assert rows(spark.read.parquet(str(tmp_path / "out" / "status")), "job_id", "status") == [("j0", "done"), ("j1", "done"), ("j2", "failed")]
-    assert rows(spark.read.parquet(str(tmp_path / "out" / "points")), "id") == rows(ingest(documents), "id")
+    assert rows(tables.status(), "job_id", "status", "msg") == [
+        ("j0", "done", "success"), ("j1", "done", "success"), ("j2", "failed", "no such document"), ("j3", "failed", "cannot read"), ("j4", "failed", "empty document"),
+    ]
+    want = documents.filter("doc_id < 2")
+    assert rows(tables.points.current(), "id") == rows(ingest(want), "id")
+    assert rows(tables.finished.current(), "job_id", "body") == [("j0", '{"job_id":"j0"}'), ("j1", '{"job_id":"j1"}')]
+    assert rows(tables.failed.current(), "job_id") == [("j2",), ("j3",), ("j4",)] and tables.callbacks.current().count() == 5
+    record = tables.records.current().filter("id = 'j3'").first()
+    assert (record.task.error, record.task.msg, record.time.tz) == (True, "cannot read", "Asia/Kolkata") and record.time.elapsed.startswith("00:0")
+
+    # the document comes again, shorter: its older points go, the others stay
+    shorter = spark.createDataFrame([("u", "0", "dir/f0.md", "new text")], documents.schema)
+    (tmp_path / "jobs" / "9.json").write_text(json.dumps({"job_id": "j9", "user_id": "u", "object_key": "0"}))
+    tables = run_jobs(job_stream(spark, str(tmp_path / "jobs"), 9), shorter, ingest, str(tmp_path / "out"), str(tmp_path / "check"))
+    assert rows(tables.points.current(), "id") == rows(ingest(shorter.union(documents.filter("doc_id = '1'"))), "id")
+    assert {p.content for p in [r.payload for r in tables.points.current().collect()]} >= {"new text"}
+    assert tables.points.collections().first().distance == "cosine"
+
+
+def test_stream_stops_when_told(spark, md, tmp_path):
+    (tmp_path / "jobs").mkdir()
+    for i in range(30):
+        (tmp_path / "jobs" / f"{i}.json").write_text(json.dumps({"job_id": f"j{i}", "user_id": "u", "object_key": "0"}))
+    tables = run_jobs(job_stream(spark, str(tmp_path / "jobs")), md("text"), ingest, str(tmp_path / "out"), str(tmp_path / "check"), go_on=lambda: not (tmp_path / "out" / "finished").exists())
+    assert 1 <= tables.finished.current().count() < 30
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_streamed_points_equal_batch_points(spark):
-    columns = ("collection", "id", "doc_id", "chunk_type", "token_count", "has_table")
+    columns = ("collection", "id", "doc_id", "chunk_type", "token_count", "has_table", "digest", "vector_size", "embed_ok", "n_terms")
     assert rows(QUERIES["job_stream"](spark, SF), *columns) == rows(QUERIES["points"](spark, SF), *columns)
 
 
