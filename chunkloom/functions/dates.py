@@ -16,6 +16,7 @@ def local_time(at: Column, offset: str = OFFSET) -> Column:
 
 def elapsed(start: Column, end: Column) -> Column:
     """The time between two ISO texts as HH:MM:SS; hours run on beyond a day."""
-    seconds = F.unix_timestamp(F.to_timestamp(end)) - F.unix_timestamp(F.to_timestamp(start))
+    at = lambda c: F.unix_timestamp(F.to_timestamp(F.concat(c, F.lit("Z"))))  # noqa: E731  both in one zone, which need not be the session's
+    seconds = at(end) - at(start)
     part = lambda c: F.when(c < 10, F.concat(F.lit("0"), c.cast("string"))).otherwise(c.cast("string"))
     return F.concat_ws(":", *[part(F.floor(c).cast("long")) for c in (seconds / 3600, F.pmod(seconds, F.lit(3600)) / 60, F.pmod(seconds, F.lit(60)))])

@@ -16,7 +16,7 @@ _MD = """md AS (
     array_to_string(list_transform(string_split(coalesce(text,''), chr(10)), lambda x, i:
       CASE WHEN i = 1 THEN '# '||coalesce(source,'none')||chr(10)||chr(10)||x
            WHEN (i-1) % 6 = 1 THEN '## '||coalesce(lang,'none')||' '||CAST((i-1)//12 AS VARCHAR)||chr(10)||x
-           WHEN (i-1) % 6 = 3 THEN '#### part'||chr(10)||'| key | value |'||chr(10)||'| --- | --- |'||chr(10)||'| line | '||CAST(i-1 AS VARCHAR)||' |'||chr(10)||'| size | '||CAST(length(x) AS VARCHAR)||' |'||chr(10)
+           WHEN (i-1) % 6 = 3 THEN '#### part'||chr(10)||'| key | value |'||chr(10)||'| --- | --- |'||chr(10)||'| line | '||CAST(i-1 AS VARCHAR)||' |'||chr(10)||'| size | '||CAST(length(x) AS VARCHAR)||' |'||chr(10)||repeat('| row | '||CAST(i-1 AS VARCHAR)||' |'||chr(10), ((i-1) % 40) * 4)
            WHEN (i-1) % 8 = 4 THEN '```'||chr(10)||x||chr(10)||chr(10)||'end'||chr(10)||'```'
            ELSE x||chr(10) END), chr(10)) AS markdown
   FROM documents)"""
@@ -94,9 +94,9 @@ live AS (SELECT w.doc_id, w.window_index, h.level, h.title FROM win2 w JOIN hd h
 paths AS (SELECT doc_id, window_index, string_agg({_strip("ltrim(title, '#')")}, '>' ORDER BY level) AS path FROM live GROUP BY ALL)"""
 _OFFERED = f"""{_BLOCKS}, o0 AS (SELECT bt.doc_id, attempt, block_no AS chunk_index, start, "end", type, (CAST(bt.doc_id AS BIGINT) + attempt) % 7 AS f FROM bt, range(1, 4) AS t(attempt)),
 o1 AS (SELECT doc_id, attempt, chunk_index, start, CASE WHEN f = 3 AND chunk_index = 1 THEN "end" + 5 WHEN f = 4 AND chunk_index = 0 THEN start + 1 ELSE "end" END AS e,
-  CASE WHEN f = 2 AND chunk_index = 0 THEN 'list' ELSE type END AS kind FROM o0 WHERE f > 1),
+  CASE WHEN f = 2 AND chunk_index = 0 THEN 'list' ELSE type END AS kind, f = 5 AND chunk_index = 0 AS lacks FROM o0 WHERE f > 1),
 o2 AS (SELECT o1.*, markdown, e <= length(markdown) AND start < e AS inside, substr(markdown, CAST(start + 1 AS BIGINT), CAST(e - start AS BIGINT)) AS own FROM o1 JOIN md USING (doc_id)),
-o3 AS (SELECT doc_id, attempt, chunk_index, kind, inside, markdown,
+o3 AS (SELECT doc_id, attempt, chunk_index, kind, lacks, inside, markdown,
   CASE WHEN inside AND {_strip("own")} <> '' THEN start + length(own) - length(ltrim(own, {_WS})) ELSE start END AS s2,
   CASE WHEN inside AND {_strip("own")} <> '' THEN e - length(own) + length(rtrim(own, {_WS})) ELSE e END AS e2 FROM o2),
 o4 AS (SELECT *, lag(e2) OVER w > s2 AS overlap, CASE WHEN lead(s2) OVER w - e2 BETWEEN 1 AND 3 THEN lead(s2) OVER w ELSE e2 END AS e3 FROM o3 WINDOW w AS (PARTITION BY doc_id, attempt ORDER BY s2, e2, chunk_index)),
@@ -104,8 +104,8 @@ o5 AS (SELECT *, inside AND ceil(length(substr(markdown, CAST(s2 + 1 AS BIGINT),
 o6 AS (SELECT doc_id, attempt, markdown, coalesce(lag(e3) OVER (PARTITION BY doc_id, attempt ORDER BY s2, e2, chunk_index), 0) AS a, s2 AS b FROM o5 WHERE inside
   UNION ALL SELECT doc_id, attempt, markdown, max(e3), length(markdown) FROM o5 WHERE inside GROUP BY ALL),
 holes AS (SELECT DISTINCT doc_id, attempt FROM o6 WHERE a < b AND {_strip("substr(markdown, CAST(a + 1 AS BIGINT), CAST(b - a AS BIGINT))")} <> ''),
-per AS (SELECT doc_id, attempt, max(kind NOT IN ('text','code','table')) AS k, max(NOT inside) AS r, coalesce(max(overlap), false) AS o, max(large) AS g FROM o5 GROUP BY doc_id, attempt),
-verdict AS (SELECT per.doc_id, per.attempt, CASE WHEN k OR r THEN concat_ws(',', CASE WHEN k THEN 'bad type' END, CASE WHEN r THEN 'bad range' END) WHEN o THEN 'overlap'
+per AS (SELECT doc_id, attempt, max(lacks) AS m, max(kind NOT IN ('text','code','table')) AS k, max(NOT inside) AS r, coalesce(max(overlap), false) AS o, max(large) AS g FROM o5 GROUP BY doc_id, attempt),
+verdict AS (SELECT per.doc_id, per.attempt, CASE WHEN m THEN 'missing keys' WHEN k OR r THEN concat_ws(',', CASE WHEN k THEN 'bad type' END, CASE WHEN r THEN 'bad range' END) WHEN o THEN 'overlap'
     ELSE concat_ws(',', CASE WHEN holes.doc_id IS NOT NULL THEN 'uncovered' END, CASE WHEN g THEN 'too large' END) END AS reasons FROM per LEFT JOIN holes USING (doc_id, attempt)
   UNION ALL SELECT DISTINCT doc_id, attempt, CASE WHEN f = 0 THEN 'bad json' ELSE 'missing chunks' END FROM o0 WHERE f <= 1)"""
 
@@ -149,9 +149,56 @@ sp AS (SELECT doc_id, ord, prefix, items, 0 AS i, CAST([] AS VARCHAR[]) AS done,
   FROM (SELECT *, CASE WHEN now <> '' THEN {_strip("now||' '||items[i + 1]")} ELSE items[i + 1] END AS joined,
     ceil(length(prefix||chr(10)||CASE WHEN now <> '' THEN {_strip("now||' '||items[i + 1]")} ELSE items[i + 1] END) / 4.0) <= 150 AS fits FROM sp WHERE i < len(items))),
 sp1 AS (SELECT doc_id, ord, CASE WHEN now <> '' THEN list_append(done, now) ELSE done END AS p FROM sp WHERE i = len(items)),
-pieces AS (SELECT ov1.doc_id, ov1.ord, title, level, chunk_type, unnest(coalesce(p, [content])) AS content, unnest(range(len(coalesce(p, [content])))) AS j FROM ov1 LEFT JOIN sp1 USING (doc_id, ord)),
+tb0 AS (SELECT doc_id, ord, prefix, list_filter(string_split(content, chr(10)), lambda x: {_strip("x")} <> '') AS rows_ FROM ov1 WHERE over_ AND chunk_type = 'table'),
+tb AS (SELECT doc_id, ord, prefix, rows_[1]||chr(10)||rows_[2] AS top, rows_[3:] AS body, 0 AS i, 0 AS n, CAST([] AS VARCHAR[]) AS done, rows_[1]||chr(10)||rows_[2] AS now FROM tb0 WHERE len(rows_) > 2
+  UNION ALL
+  SELECT doc_id, ord, prefix, top, body, i + 1, CASE WHEN fits THEN n + 1 ELSE 1 END, CASE WHEN fits OR n = 0 THEN done ELSE list_append(done, now) END, CASE WHEN fits THEN now ELSE top END||chr(10)||body[i + 1]
+  FROM (SELECT *, ceil(length(prefix||chr(10)||now||chr(10)||body[i + 1]) / 4.0) <= 150 AS fits FROM tb WHERE i < len(body))),
+tb1 AS (SELECT doc_id, ord, list_append(done, now) AS q FROM tb WHERE i = len(body)),
+pieces AS (SELECT ov1.doc_id, ov1.ord, title, level, chunk_type, unnest(coalesce(p, q, [content])) AS content, unnest(range(len(coalesce(p, q, [content])))) AS j FROM ov1 LEFT JOIN sp1 USING (doc_id, ord) LEFT JOIN tb1 USING (doc_id, ord)),
 typed AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY ord, j) - 1 AS INTEGER) AS ord, title, level, chunk_type, content FROM pieces)""")
 
+
+def _inner(sql: str, source: str) -> str:
+    """The same chain over another table of markdown texts."""
+    return sql.replace(_MD, f"md AS ({source})")
+
+
+# The whole plan with small budgets (chunks 150, least 40, windows 400, threshold 300) and a chunk for each block as proposal.
+_ASSEMBLED = f"""{_WINDOWS}, {_OPEN},
+w AS (SELECT win2.doc_id, window_index, oversized, md.source, substr(markdown, start + 1, "end" - start) AS text, win2.doc_id||':'||CAST(window_index AS VARCHAR) AS k FROM win2 JOIN md USING (doc_id)),
+wb AS (WITH {_inner(_BLOCKS, "SELECT k AS doc_id, text AS markdown FROM w WHERE NOT oversized")} SELECT bt.doc_id AS k, block_no, start AS s, "end" AS e, type, markdown, substr(markdown, start + 1, "end" - start) AS own FROM bt JOIN md USING (doc_id)),
+t0 AS (SELECT k, block_no, type, markdown, s + length(own) - length(ltrim(own, {_WS})) AS s2, e - length(own) + length(rtrim(own, {_WS})) AS e2 FROM wb),
+t1 AS (SELECT *, CASE WHEN lead(s2) OVER v - e2 BETWEEN 1 AND 3 THEN lead(s2) OVER v ELSE e2 END AS e3, row_number() OVER v - 1 AS chunk_index FROM t0 WINDOW v AS (PARTITION BY k ORDER BY s2, e2, block_no)),
+t2 AS (SELECT k, chunk_index, type, substr(markdown, CAST(s2 + 1 AS BIGINT), CAST(e3 - s2 AS BIGINT)) AS content FROM t1),
+bad AS (SELECT DISTINCT k FROM t2 WHERE ceil(length(content) / 4.0) > 165),
+fb AS ({_inner(_RULE, "SELECT w.k AS doc_id, text AS markdown FROM w JOIN bad USING (k)")}
+  SELECT m1.doc_id AS k, part AS chunk_index, min(title) AS title, min(level) AS level, min(chunk_type) AS chunk_type, string_agg(content, '' ORDER BY m1.ord) AS content FROM m1 JOIN fold ON fold.doc_id = m1.doc_id AND fold.ord = m1.ord GROUP BY m1.doc_id, part),
+ch AS (SELECT w.doc_id, window_index, source, chunk_index, '' AS title, CAST(NULL AS INTEGER) AS level, type AS chunk_type, content, 'agent' AS producer FROM t2 JOIN w USING (k) WHERE k NOT IN (SELECT k FROM bad)
+  UNION ALL SELECT w.doc_id, window_index, source, chunk_index, title, level, chunk_type, content, 'fallback' FROM fb JOIN w USING (k)
+  UNION ALL SELECT w.doc_id, window_index, source, 0, coalesce((SELECT max_by({_strip("ltrim(title, '#')")}, level) FROM live WHERE live.doc_id = w.doc_id AND live.window_index = w.window_index), 'Oversized block'), NULL, 'table', text, 'agent' FROM w WHERE oversized),
+a0 AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY window_index, chunk_index) - 1 AS INTEGER) AS ord, nullif({_strip("ltrim(coalesce(title, ''), '#')")}, '') AS bare FROM ch),
+a1 AS (SELECT *, bare IS NOT NULL AND coalesce(level, 0) > 0 AS head,
+  sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(doc_id||'|'||CASE WHEN window_index = 0 THEN '' ELSE CAST(window_index AS VARCHAR) END||'|'||CAST(row_number() OVER (PARTITION BY doc_id, window_index ORDER BY ord) - 1 AS VARCHAR))) AS h FROM a0),
+a2 AS (SELECT * EXCLUDE (h), {_UUID} AS chunk_id,
+  CASE WHEN lag(ord) OVER v IS NULL OR bare IS DISTINCT FROM lag(bare) OVER v OR level IS DISTINCT FROM lag(level) OVER v THEN 1 ELSE 0 END AS turn FROM a1 WINDOW v AS (PARTITION BY doc_id, window_index ORDER BY ord)),
+a3 AS (SELECT *, CAST(sum(CASE WHEN head THEN turn ELSE 0 END) OVER (PARTITION BY doc_id, window_index ORDER BY ord ROWS UNBOUNDED PRECEDING) AS INTEGER) AS place FROM a2),
+las AS (SELECT doc_id, bare, level, min(ord) AS first, max_by(chunk_id, ord) AS id FROM a3 WHERE head GROUP BY ALL),
+s0 AS (SELECT doc_id, window_index, CAST(row_number() OVER (PARTITION BY doc_id, window_index ORDER BY level) AS INTEGER) AS i, nullif({_strip("ltrim(title, '#')")}, '') AS bare FROM live),
+s1 AS (SELECT s0.*, coalesce((SELECT min(id) FROM las WHERE las.doc_id = s0.doc_id AND las.bare = s0.bare AND las.level = s0.i), (SELECT min_by(id, first) FROM las WHERE las.doc_id = s0.doc_id AND las.bare = s0.bare)) AS id FROM s0),
+hs AS (SELECT doc_id, window_index, place, min(level) AS level, min(bare) AS bare, max_by(chunk_id, ord) AS id FROM a3 WHERE head GROUP BY doc_id, window_index, place
+  UNION ALL SELECT doc_id, window_index, i - 1000, i, bare, id FROM s1 WHERE id IS NOT NULL),
+pth AS (SELECT a3.doc_id, a3.ord, hs.place, hs.level, hs.bare, hs.id, row_number() OVER (PARTITION BY a3.doc_id, a3.ord ORDER BY hs.place DESC) AS up
+  FROM a3 JOIN hs ON hs.doc_id = a3.doc_id AND hs.window_index = a3.window_index AND hs.place <= a3.place
+  WHERE NOT EXISTS (SELECT 1 FROM hs k WHERE k.doc_id = a3.doc_id AND k.window_index = a3.window_index AND k.place > hs.place AND k.place <= a3.place AND k.level <= hs.level)),
+par AS (SELECT a3.doc_id, a3.ord, min(pth.id) AS parent_chunk_id FROM a3 JOIN pth ON pth.doc_id = a3.doc_id AND pth.ord = a3.ord AND pth.up = CASE WHEN a3.head THEN 2 ELSE 1 END GROUP BY ALL),
+nam AS (SELECT pth.doc_id, pth.ord, pth.place, pth.bare, coalesce(las.id, pth.id) AS id FROM pth LEFT JOIN las ON las.doc_id = pth.doc_id AND las.bare = pth.bare AND las.level = pth.level),
+one AS (SELECT doc_id, ord, id, min(place) AS place, min_by(bare, place) AS bare FROM nam GROUP BY doc_id, ord, id),
+chn AS (SELECT doc_id, ord, list(bare ORDER BY place) AS chain FROM one GROUP BY doc_id, ord),
+a4 AS (SELECT a3.*, coalesce(chain, CAST([] AS VARCHAR[])) AS chain, parent_chunk_id FROM a3 LEFT JOIN chn USING (doc_id, ord) LEFT JOIN par USING (doc_id, ord)),
+asm AS (SELECT *, lag(chunk_id) OVER v AS prev_chunk_id, lead(chunk_id) OVER v AS next_chunk_id, CAST(count(*) OVER (PARTITION BY doc_id, chain, bare, level, chunk_type) - 1 AS INTEGER) AS n_siblings, CAST(len(chain) AS INTEGER) AS depth,
+  {_strip("regexp_extract(source, '[^/]*$')")}||CASE WHEN len(chain) > 0 THEN ' > '||array_to_string(chain, ' > ') ELSE '' END||chr(10)||content AS embedding_text FROM a4 WINDOW v AS (PARTITION BY doc_id ORDER BY ord))"""
+
 ORACLE: dict[str, str] = {
     "lines": f'WITH {_LINES} SELECT doc_id, line_no, start, "end", length(line) AS size FROM l',
     "headings": f"WITH {_LINES} SELECT doc_id, line_no, start, s AS title, {_LEVEL.format('s')} AS level FROM l WHERE {_HEAD}",
@@ -214,4 +261,18 @@ FROM embeddings q, embeddings v WHERE q.vec_id % 50 = 0 QUALIFY rank <= 5""",
 md5(coalesce(string_agg(role||':'||coalesce(text,''), '|' ORDER BY turn) FILTER (role IN ('user','assistant')), '')) AS digest FROM conversations GROUP BY conv_id""",
     "html_markdown": f"WITH p AS (SELECT page_id, {duck_html_to_markdown('html')} AS m FROM pages) SELECT page_id, length(m) AS size, md5(m) AS digest FROM p",
     "input_guards": """SELECT conv_id, turn, CASE WHEN turn % 3 = 0 OR coalesce(role,'') = '' THEN 'user_id required' WHEN turn % 2 <> 0 THEN 'doc_id required' WHEN turn % 5 = 0 OR NOT regexp_matches(coalesce(text,''), '\\S') THEN 'empty document' END AS error FROM conversations""",
+    "assembled_chunks": f"""{_ASSEMBLED} SELECT doc_id, ord, chunk_id, parent_chunk_id, prev_chunk_id, next_chunk_id, n_siblings, depth, producer, {_TOK.format("embedding_text")} AS token_count, md5(embedding_text) AS digest FROM asm""",
+    "embedding_text": f"""{_ASSEMBLED} SELECT chunk_id, CAST(length(embedding_text) AS INTEGER) AS size, md5(embedding_text) AS digest, {_TOK.format("embedding_text")} AS token_count FROM asm""",
+    "points": f"""{_ASSEMBLED} SELECT 'user-'||split_part(source, '/', 1) AS collection, chunk_id AS id, doc_id, chunk_type, {_TOK.format("embedding_text")} AS token_count, chunk_type = 'table' AS has_table, depth, md5(content) AS digest, 64 AS vector_size, true AS embed_ok,
+  CAST(len(list_distinct(list_filter(string_split_regex(lower(embedding_text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> ''))) AS INTEGER) AS n_terms FROM asm""",
+    "job_stream": "",
+    "payload_check": f"""{_ASSEMBLED}, ids AS (SELECT chunk_id AS t FROM asm) SELECT count(*) AS n_broken, CAST(NULL AS VARCHAR) AS missing_key, 19 AS n_keys
+FROM (SELECT parent_chunk_id AS t FROM asm UNION ALL SELECT prev_chunk_id FROM asm UNION ALL SELECT next_chunk_id FROM asm UNION ALL SELECT id FROM one) x WHERE t IS NOT NULL AND t NOT IN (SELECT t FROM ids)""",
+    "job_log": """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id, 'doc'||CAST(o_orderkey AS VARCHAR) AS doc, o_orderstatus <> 'F' AS error, o_orderpriority AS msg,
+strftime(o_orderdate + INTERVAL 330 MINUTE, '%Y-%m-%dT%H:%M:%S') AS start, printf('%02d:%02d:%02d', o_orderkey * 7 // 3600, o_orderkey * 7 % 3600 // 60, o_orderkey * 7 % 60) AS elapsed,
+strftime(o_orderdate + INTERVAL 330 MINUTE + to_seconds(o_orderkey * 7), '%Y-%m-%dT%H:%M:%S') AS end_, 'Asia/Kolkata' AS tz FROM orders""",
+    "job_messages": """SELECT CAST(o_orderkey AS VARCHAR) AS job_id, CAST(o_custkey AS VARCHAR) AS user_id, CASE o_orderstatus WHEN 'F' THEN 'finished' ELSE 'failed' END AS queue, '{"job_id":"'||CAST(o_orderkey AS VARCHAR)||'"}' AS body, 'embedding' AS stage, o_orderstatus = 'F' AS ok
+FROM orders WHERE o_orderstatus IN ('F', 'O')""",
+    "dense_vectors": "SELECT doc_id AS id, 64 AS size, true AS embed_ok FROM documents",
 }
+ORACLE["job_stream"] = ORACLE["points"]  # the stream leaves what the batch does

@@ -126,7 +126,7 @@ def _scripted(spark, sf):
     fault = F.pmod(F.col("n") + F.col("attempt"), F.lit(7))
     start, end = F.col("start"), F.when((fault == 3) & (F.col("block_no") == 1), F.col("end") + 5).when((fault == 4) & (F.col("block_no") == 0), F.col("start") + 1).otherwise(F.col("end"))
     kind = F.when((fault == 2) & (F.col("block_no") == 0), "list").otherwise(F.col("type"))
-    item = F.struct("block_no", start.alias("start"), end.alias("end"), F.lit("t").alias("title"), kind.alias("chunk_type"))
+    item = F.struct("block_no", start.alias("start"), end.alias("end"), F.when((fault != 5) | (F.col("block_no") != 0), "t").alias("title"), kind.alias("chunk_type"))
     lists = rows.groupBy("doc_id", "n", "attempt").agg(F.array_sort(F.collect_list(item)).alias("chunks"))
     fault = F.pmod(F.col("n") + F.col("attempt"), F.lit(7))
     args = F.when(fault == 0, F.lit("{oops")).when(fault == 1, F.lit('{"chunks": null}')).otherwise(F.to_json(F.struct("chunks")))
@@ -212,7 +212,7 @@ def payload_check(spark, sf):
 def job_log(spark, sf):
     """Job records of orders: times in the records' zone, elapsed time, status messages."""
     rows = _table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("job_id"), F.col("o_custkey").cast("string").alias("user_id"), F.concat(F.lit("doc"), "o_orderkey").alias("doc_id"), F.when(F.col("o_orderstatus") == "F", "done").otherwise("failed").alias("status"), F.col("o_orderpriority").alias("msg"), "o_orderdate", "o_orderkey")
-    start = F.col("o_orderdate").cast("timestamp")
+    start = F.from_utc_timestamp(F.col("o_orderdate").cast("timestamp"), F.current_timezone())  # the table's times are in UTC
     out = sinks.log_record(rows, start, start + F.make_interval(secs=F.col("o_orderkey") * 7))
     return out.select("id", "user_id", "doc", "task.error", "task.msg", "time.start", "time.elapsed", F.col("time.end").alias("end_"), "time.tz")
 

@@ -1,4 +1,4 @@
-"""A markdown corpus derived from plain documents: headings, tables and fences at fixed lines."""
+"""A markdown corpus derived from plain documents: headings, tables (some over every small budget) and fences at fixed lines."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ def md_corpus(docs: DataFrame) -> DataFrame:
 
     def mark(x, i):
         number = i.cast("string")
-        table = F.concat(F.lit("| key | value |\n| --- | --- |\n| line | "), number, F.lit(" |\n| size | "), F.length(x).cast("string"), F.lit(" |\n"))
+        table = F.concat(F.lit("| key | value |\n| --- | --- |\n| line | "), number, F.lit(" |\n| size | "), F.length(x).cast("string"), F.lit(" |\n"), F.repeat(F.concat(F.lit("| row | "), number, F.lit(" |\n")), (i % 40) * 4))
         fence = F.concat(F.lit("```\n"), x, F.lit("\n\nend\n```"))
         return (
             F.when(i == 0, F.concat(F.lit("# "), source, F.lit("\n\n"), x))

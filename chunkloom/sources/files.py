@@ -64,6 +64,14 @@ _RULES = [
     ("&gt;", ">"),
     ("&quot;", '"'),
     ("&#39;", "'"),
+    ("&copy;", "©"),
+    ("&reg;", "®"),
+    ("&middot;", "·"),
+    ("&hellip;", "…"),
+    ("&ndash;", "–"),
+    ("&mdash;", "—"),
+    ("&laquo;", "«"),
+    ("&raquo;", "»"),
     ("&amp;", "&"),
     (r"[ \t]+\n", "\n"),
     (r"\n{3,}", "\n\n"),

@@ -17,6 +17,8 @@ def fresh(spark: SparkSession, kind: str) -> str:
     """The path of a new folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="chunkloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{kind}/{uuid.uuid4().hex}"
