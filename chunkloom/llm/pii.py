@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CONTEXT = 40
+BLOCK = 16
 # The base kinds in order, their patterns in linear-time form, and what a text must hold for each.
 KINDS = ("email", "ip", "card", "phone", "iban")
 PATTERNS = {
@@ -86,6 +87,43 @@ def _confirmed(kind: str, s: Column) -> Column:
     return F.when(F.length(code).between(15, 34), mod97(code)).otherwise(False)
 
 
+def _placed(kind: str, steps: Column) -> Column:
+    """Confirmed spans of matches ``m`` and the pieces ``p`` before them.
+
+    The context is taken from the piece before a match and, where that is short, from the match and piece before it,
+    never from the whole text; offsets are running sums, folded over blocks of matches, so that work grows with their number.
+    """
+    one = lambda i: F.get(steps, i)
+    block = F.lit(BLOCK)
+    length = lambda x: F.length(x["p"]) + F.length(x["m"])
+    sums = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + length(x))
+    n = F.size(steps)
+    blocks = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+    def bases(numbers: Column) -> Column:
+        """Where each block starts in the text."""
+        add = lambda a, k: F.struct((a["at"] + sums(F.slice(steps, k * block + 1, block))).alias("at"), F.array_append(a["out"], a["at"]).alias("out"))
+        return F.aggregate(numbers, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), add, lambda a: a["out"])
+
+    def near(i: Column) -> Column:
+        p = one(i)["p"]
+        before = F.concat(F.coalesce(one(i - 1)["p"], F.lit("")), F.coalesce(one(i - 1)["m"], F.lit("")), p)
+        return F.lower(F.right(F.when(F.length(p) >= CONTEXT, p).otherwise(F.right(before, F.lit(CONTEXT))), F.lit(CONTEXT)))
+
+    def span(i: Column, start: Column) -> Column:
+        m = one(i)["m"]
+        score = F.lit(SCORES[kind]) + F.when(near(i).rlike(rf"(?<![\p{{L}}])(?:{WORDS[kind]})(?![\p{{L}}])"), RAISE).otherwise(0.0)
+        return F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(m)).alias("end"), score.alias("score"))
+
+    def of_block(k: Column, base: Column) -> Column:
+        own = F.slice(steps, k * block + 1, block)
+        start = lambda x, j: base + sums(F.slice(own, F.lit(1), j)) + F.length(x["p"])
+        placed = F.transform(own, lambda x, j: F.struct(_confirmed(kind, x["m"]).alias("ok"), start(x, j).alias("start"), (k * block + j).alias("i")))
+        return F.transform(F.filter(placed, lambda x: x["ok"]), lambda x: span(x["i"], x["start"]))
+
+    return F.transform(F.array(blocks), lambda ks: F.flatten(F.zip_with(ks, bases(ks), of_block)))[0]
+
+
 def _spans(text: Column, kind: str) -> Column:
     """Confirmed spans of one kind as an array of (kind, start, end, score), by start."""
     pattern = F.lit(PATTERNS[kind])
@@ -93,16 +131,7 @@ def _spans(text: Column, kind: str) -> Column:
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
     pieces = F.split(text, PATTERNS[kind], -1)
     steps = F.zip_with(matches, F.slice(pieces, 1, F.size(matches)), lambda m, p: F.struct(m.alias("m"), p.alias("p")))
-
-    def add(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["p"])
-        end = start + F.length(x["m"])
-        near = F.lower(F.substring(text, F.greatest(F.lit(1), start - CONTEXT + 1), F.least(start, F.lit(CONTEXT))))
-        score = F.lit(SCORES[kind]) + F.when(near.rlike(rf"(?<![\p{{L}}])(?:{WORDS[kind]})(?![\p{{L}}])"), RAISE).otherwise(0.0)
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
-        return F.struct(end.alias("at"), F.when(_confirmed(kind, x["m"]), F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
-
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("at"), F.array().cast(entry).alias("out")), add, lambda s: s["out"])
+    found = F.transform(F.array(steps), lambda own: _placed(kind, own))[0]
     none = F.array().cast(entry)
     return F.when(F.contains(text, F.lit(HOLDS[kind])), found).otherwise(none) if HOLDS[kind] else F.when(text.rlike(PATTERNS[kind]), found).otherwise(none)
 

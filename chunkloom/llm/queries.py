@@ -40,10 +40,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = personal.pii(_documents(spark, sf_dir))
     base = ("email", "ip", "card", "phone")
-    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in personal.KINDS]
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in base]
     digest = F.sha2(personal.span_text(*map(F.col, base)), 256).alias("base_sha256")
     best = F.array_max(F.transform(F.concat(*personal.KINDS), lambda s: s["score"])).alias("best_score")
-    return out.select("doc_id", *counts, digest, personal.span_text(*map(F.col, personal.KINDS)).alias("spans"), best)
+    return out.select("doc_id", *counts, digest, personal.span_text(*map(F.col, personal.KINDS)).alias("spans"), F.size("iban").cast("long").alias("n_iban"), best)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +75,7 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(_documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken", "copies")
+    return mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from chunkloom.llm import quality as m
 
@@ -53,5 +54,32 @@ def test_verdict_does_not_depend_on_order(docs, monkeypatch):
     assert kept[202] and not any(kept[i] for i in (200, 201, 203, 204, 205))
 
 
+def test_order_is_by_rejections_per_step_and_stays(docs):
+    df = docs(rows())
+    first = [(r.name, c, s) for r, c, s in m.cascade_order(df)]
+    assert first == [(r.name, c, s) for r, c, s in m.cascade_order(df.repartition(7))]  # and so the order in every run
+    by = lambda d: sorted(((r.doc_id, r.rejected_by) for r in m.quality(d).collect()), key=str)
+    assert by(df) == by(df.repartition(3))
+    # rule 0 rejects most but dearly, rule 3 (exclamations) little but for next to nothing
+    texts = [(0b0001, 1000, 100)] * 30 + [(0b1000, 1000, 100)] * 10 + [(0b1001, 1000, 100)] * 10 + [(0, 1000, 100)] * 50
+    rules = tuple(m.RULES[i] for i in (1, 2, 4, 3))
+    order = m.greedy_order(rules, texts)
+    assert [r.name for r, _, _ in order][0] == "exclamations" and [s for _, _, s in order][0] == 0.2
+    assert [(r.name, s) for r, _, s in order if s][1] == ("repeated_words", 30 / 80)  # of those that are left
+    spent = dict((r.name, c) for r, c, _ in order)
+    assert spent["symbols"] < m.WORK["n_symbols"][0] * 1000 + m.WORK["words"][0] * 1000  # words were known by then
+
+
+def test_cascade_skips_what_is_decided(docs):
+    """A dear measure is null for texts that a cheaper rule has rejected, until the caller asks for it."""
+    df = m._rows(docs([(1, "few words"), (2, " ".join(f"word{i}" for i in range(80)))])).withColumn("rejected_by", F.lit(None).cast("string"))
+    for rule in m.RULES[:2]:
+        alive = F.col("rejected_by").isNull()
+        df = m.with_measures(df, rule.needs, alive)
+        df = df.withColumn("rejected_by", F.when(alive, F.when(rule.rejects(), F.lit(rule.name))).otherwise(F.col("rejected_by")))
+    assert {r.doc_id: r.n_repeat_words for r in df.collect()} == {1: None, 2: 0}
+    assert {r.doc_id: r.n_repeat_words for r in m.completed(df, ("n_repeat_words",)).collect()} == {1: 0, 2: 0}
+
+
 def test_empty_table(docs):
     assert m.quality(docs([]), NAMES).collect() == []
