@@ -1,10 +1,12 @@
 """Secrets and personal data against plain Python scans."""
 
 import hashlib
+import math
 import random
 import re
 import string
 
+import pytest
 from pyspark.sql import functions as F
 
 from chunkloom.llm import pii, secrets
@@ -74,6 +76,56 @@ def test_battery_finds_random_strings_and_leaves_words(docs):
     assert (hit[0].start, hit[0].end) == (4, 44)
 
 
+def prose(n, seed):
+    """Documents of plain words, names and numbers."""
+    rng = random.Random(seed)
+    words = ["the", "people", "government", "Internationalization", "another", "question", "because", "Tuesday", "children", "information", "without", "development", "experience", "should", "different", "2024", "17", "system", "working", "Northern"]
+    return [" ".join(rng.choices(words, weights=range(20, 0, -1), k=120)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("encoding, length, power", [("base64", 24, 0.1), ("base64", 32, 0.5), ("base64", 40, 0.8), ("hex", 31, 0.9), ("base32", 64, 0.6)])
+def test_planted_keys_are_found_and_names_are_not(docs, encoding, length, power):
+    """Power by length and encoding among names of the same length, with false discoveries held."""
+    rng = random.Random(length)
+    alphabet = secrets.ALPHABETS[encoding].strip("+/")
+    key = lambda: "".join(rng.choice(alphabet) for _ in range(length))
+    stems = ["customer", "Address", "report", "Final", "version", "backup", "Daily", "index", "Module", "handler", "default", "Service"]
+    name = lambda: ("".join(rng.choice(stems).title() for _ in range(9))[: length - 2] + str(rng.randrange(10, 99)))
+    texts = prose(60, 1)
+    rows = [(i, f"{t} {key()} end") for i, t in enumerate(texts)] + [(1000 + i, f"{t} {name()} end") for i, t in enumerate(prose(60, 2))]
+    out = {r.doc_id: r.random for r in secrets.secrets(docs(rows)).collect()}
+    found = sum(any(x.end - x.start == length for x in out[i]) for i in range(60))
+    false = sum(bool(out[1000 + i]) for i in range(60))
+    assert found >= power * 60 and false <= max(1, 0.05 * found), (found, false)
+
+
+def test_spans_against_plain_control(docs):
+    """All spans: base ones, and the battery's by Benjamini-Hochberg in each band over all texts, in plain Python."""
+    rng = random.Random(9)
+    key = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    rows = [(i, f"{t} {key(rng.choice([18, 26, 36, 50, 70]))} {rng.choice(KEYS)} x{key(30)}/{key(30)}-y") for i, t in enumerate(prose(50, 3))] + [(90, None), (91, "")]
+    df = docs(rows)
+    nulls = secrets.fitted_nulls(secrets.keyed(df))
+    every = {d: secrets.candidates(t or "", secrets.base_spans(t or ""), nulls) for d, t in rows}
+    band = lambda x: sum(x[1] - x[0] >= b for b in secrets.BANDS[1:])
+    step = lambda p: min(secrets.BINS - 1, int(-10 * math.log10(max(p, 1e-300)) // 1))
+    kept = set()
+    for k in range(len(secrets.BANDS)):
+        tested = sorted((step(x[3]) for xs in every.values() for x in xs if band(x) == k), reverse=True)
+        least = min((b for i, b in enumerate(tested) if 10 ** (-b / 10) * len(tested) <= secrets.FDR * sum(t >= b for t in tested)), default=secrets.BINS)
+        kept |= {(d, *x[:3]) for d, xs in every.items() for x in xs if band(x) == k and step(x[3]) >= least}
+    want = {}
+    for d, t in rows:
+        spans = [(s, secrets.KINDS.index(k), k, e) for k, s, e in secrets.base_spans(t or "")] + [(s, 3, f"random_{c}", e) for dd, s, e, c in kept if dd == d]
+        want[d] = ",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(spans))
+    out = secrets.secrets(df).select("doc_id", secrets.span_text(F.col("base"), F.col("random")).alias("s")).collect()
+    assert {r.doc_id: r.s for r in out} == want and any("random_" in s for s in want.values())
+
+
+def test_lower_gamma():
+    assert secrets.lower_gamma(1.0, 2.0) == pytest.approx(1 - math.exp(-2)) and secrets.lower_gamma(3.0, 50.0) == pytest.approx(1.0) and secrets.lower_gamma(2.0, 0.0) == 0.0
+
+
 def test_limits_are_benjamini_hochberg_by_band():
     assert secrets.limits({(0, 60): 5, (0, 1): 95}) == [34] + [400] * 4  # 10 ** -3.4 <= 0.01 * 5 / 100
     assert secrets.limits({(0, 5): 5, (0, 1): 95}) == [400] * 5
