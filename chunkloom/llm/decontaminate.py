@@ -3,15 +3,15 @@
 An item leaks into a document if at least ``threshold`` of its distinct ``shingle``-word sequences
 occur there.
 
-*Bottom-k filter.*  It takes the place of MinHash with items partitioned by size; nothing is
-partitioned here.  The sketch of an item of n shingles is its k smallest shingle hashes,
-k = n - ceil(threshold * n) + 1: a document that holds ``threshold`` of the item's shingles lacks at
+*Size partitions.*  Items are partitioned by their number n of distinct shingles, from one power of two to
+the next.  The MinHash sketch of an item is its k smallest shingle hashes, with one k for a partition up to
+n = hi: k = hi - ceil(threshold * hi) + 1.  A document that holds ``threshold`` of an item's shingles lacks at
 most k - 1, so it holds one of the sketch at least, and no leak is missed however long the document is.
 (Sketching the long side as well, as for Jaccard similarity, would miss nearly all: a 30-shingle item
-in a document of 20,000 agrees with it on one MinHash in 700.)  Documents are probed with all their
-shingles.
+in a document of 20,000 agrees with it on one MinHash in 700.)  Each partition is probed by itself, with all
+shingles of those documents that are large enough to hold ``threshold`` of its least item.
 
-*Two ways to probe.*  While the sketches fit ``SKETCH_BYTES``, they go to the executors and the texts
+*Two ways to probe.*  While sketches and items' shingles, as the workers hold them, fit ``SKETCH_BYTES``, they go to the executors and the texts
 are read once, without a shuffle; beyond it, documents' and items' shingle hashes are joined.
 
 *Verification.*  A document that holds a sketch hash is compared with the item's whole shingle set,
@@ -41,7 +41,8 @@ from chunkloom.llm._words import Words, words
 
 THRESHOLD = 0.8
 SHINGLE = 5
-SKETCH_BYTES = 64 << 20
+SKETCH_BYTES = 256 << 20
+SHINGLE_BYTES = 128
 _BITS = 22
 
 
@@ -60,8 +61,19 @@ def _shingles(w: Words, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return np.concatenate([p[0] for p in parts]), np.concatenate(sizes), np.concatenate([p[1] for p in parts])
 
 
+def size_part(n: int) -> int:
+    """The partition of items with n distinct shingles: those from 2**part to 2**(part + 1) - 1."""
+    return n.bit_length() - 1
+
+
+def sketch_size(part: int, threshold: float) -> int:
+    """Hashes in the sketches of a partition: as many as its largest items need."""
+    most = (1 << part + 1) - 1
+    return most - ceil(threshold * most - 1e-9) + 1
+
+
 def _sketch_rows(batches: Iterator[pa.RecordBatch], shingle: int, threshold: float) -> Iterator[pa.RecordBatch]:
-    """``(item, th, n, h, k)``: the sketch of each item; k words in the shingle."""
+    """``(item, th, n, part, h, k)``: the sketch of each item in its size partition; k words in the shingle."""
     for b in batches:
         for w in words(b.column("text"), lower=True):
             at, k, h = _shingles(w, shingle)
@@ -71,12 +83,12 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch], shingle: int, threshold: flo
             out = []
             for s, e in zip(edges[:-1], edges[1:]):
                 own = np.unique(h[s:e])
-                size = len(own) - ceil(threshold * len(own) - 1e-9) + 1
-                out += [(w.start_row + doc[s], len(own), x, k[s]) for x in own[:size]]
+                part = size_part(len(own))
+                out += [(w.start_row + doc[s], len(own), part, x, k[s]) for x in own[: sketch_size(part, threshold)]]
             rows = pa.array([x[0] for x in out], pa.int64())
             yield pa.record_batch(
-                [b.column("doc_id").take(rows), b.column("th").take(rows), pa.array([x[1] for x in out], pa.int32()), pa.array(np.array([x[2] for x in out], np.uint64).view(np.int64)), pa.array([x[3] for x in out], pa.int32())],
-                names=["item_id", "ith", "n", "h", "k"],
+                [b.column("doc_id").take(rows), b.column("th").take(rows), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.int32()), pa.array(np.array([x[3] for x in out], np.uint64).view(np.int64)), pa.array([x[4] for x in out], pa.int32())],
+                names=["item_id", "ith", "n", "part", "h", "k"],
             )
 
 
@@ -95,29 +107,36 @@ def exact_shingles(text: str, shingle: int) -> tuple[int, set[bytes]]:
 
 
 class _Probe:
-    """Sketch hashes in sorted order behind a bit table, and the exact shingles of their items."""
+    """Size partitions of sketch hashes in sorted order behind a bit table, and the exact shingles of their items."""
 
-    def __init__(self, items: list[tuple], sketches: list[tuple], shingle: int):
+    def __init__(self, items: list[tuple], sketches: list[tuple], shingle: int, threshold: float):
         self.items = [(item, th, *exact_shingles(text, shingle)) for item, th, text in items]
         place = {(item, th): i for i, (item, th, *_) in enumerate(self.items)}
-        entries = sorted((h & (1 << 64) - 1, k, place[item, th]) for item, th, h, k in sketches)
-        self.h = np.array([e[0] for e in entries], np.uint64)
-        self.owner = [e[2] for e in entries]
-        self.lengths, self.shingle = sorted({e[1] for e in entries}), shingle
+        entries = sorted((part, h & (1 << 64) - 1, k, place[item, th]) for item, th, part, h, k in sketches)
+        self.lengths, self.shingle = sorted({e[2] for e in entries}), shingle
         self.table = np.zeros(1 << _BITS, bool)
-        self.table[(self.h >> np.uint64(64 - _BITS)).astype(np.int64)] = True
+        self.parts = []
+        for part in sorted({e[0] for e in entries}):
+            own = [e for e in entries if e[0] == part]
+            h = np.array([e[1] for e in own], np.uint64)
+            self.table[(h >> np.uint64(64 - _BITS)).astype(np.int64)] = True
+            self.parts.append((ceil(threshold * (1 << part) - 1e-9), h, [e[3] for e in own]))
 
     def candidates(self, w: Words) -> dict[int, set[int]]:
         """Items by row of the slice that share a sketch hash with it."""
         found: dict[int, set[int]] = defaultdict(set)
-        hashes = w.hashes()
+        hashes, counts = w.hashes(), w.counts()
         for k in self.lengths:
             at, h = w.windows(hashes, k)
             h = h if k == self.shingle else h ^ np.uint64(k)
             near = np.flatnonzero(self.table[(h >> np.uint64(64 - _BITS)).astype(np.int64)])
-            left, right = np.searchsorted(self.h, h[near], "left"), np.searchsorted(self.h, h[near], "right")
-            for i in np.flatnonzero(right > left):
-                found[int(w.doc[at[near[i]]])].update(self.owner[left[i] : right[i]])
+            at, h = at[near], h[near]
+            room = counts[w.doc[at]] - k + 1  # shingles of the document, repeats included
+            for least, sketch, owner in self.parts:
+                fit = np.flatnonzero(room >= least)
+                left, right = np.searchsorted(sketch, h[fit], "left"), np.searchsorted(sketch, h[fit], "right")
+                for i in np.flatnonzero(right > left):
+                    found[int(w.doc[at[fit[i]]])].update(owner[left[i] : right[i]])
         return found
 
 
@@ -177,12 +196,13 @@ def _verify_pairs(batches: Iterator[pa.RecordBatch], shingle: int, threshold: fl
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, sketch_bytes: int = SKETCH_BYTES) -> DataFrame:
     """``doc_id, th, item_id, ith, item_shingles, shared, containment``: items of ``items(item_id, text)`` found in ``docs(doc_id, text)``."""
     spark, source, tests = docs.sparkSession, keyed(docs), keyed(items, "item_id").distinct()
-    sketches = tests.mapInArrow(lambda it: _sketch_rows(it, shingle, threshold), "item_id long, ith long, n int, h long, k int")
-    bytes_ = tests.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    sketches = tests.mapInArrow(lambda it: _sketch_rows(it, shingle, threshold), "item_id long, ith long, n int, part int, h long, k int")
+    # what the probe holds: each shingle's words, once as text and once as an object in a set
+    bytes_ = tests.agg(F.sum(F.octet_length("text") * (shingle + 1) + F.size(F.split("text", r"[\x20\x09-\x0D]+")) * SHINGLE_BYTES)).first()[0] or 0
     if bytes_ <= sketch_bytes:
         held = [tuple(r) for r in tests.select("doc_id", "th", "text").collect()]
-        rows = [tuple(r) for r in sketches.select("item_id", "ith", "h", "k").collect()]
-        probe = spark.sparkContext.broadcast(_Probe(held, rows, shingle))
+        rows = [tuple(r) for r in sketches.select("item_id", "ith", "part", "h", "k").collect()]
+        probe = spark.sparkContext.broadcast(_Probe(held, rows, shingle, threshold))
         return source.mapInArrow(lambda it: _search(it, probe, threshold), _OUT).distinct()
     probes = source.mapInArrow(lambda it: _all_shingles(it, shingle), "doc_id long, th long, h long").distinct()
     pairs = probes.join(sketches.select("item_id", "ith", "h"), "h").select("doc_id", "th", "item_id", "ith").distinct()

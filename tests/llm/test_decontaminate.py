@@ -1,8 +1,10 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
+from chunkloom.llm import decontaminate as m
 from chunkloom.llm.decontaminate import leaks
 
 
@@ -49,3 +51,23 @@ def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert leaks(docs([(1, "a b c d e f")]), none).collect() == []
     assert leaks(docs([]), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")).collect() == []
+
+
+def test_each_size_partition_is_reached_and_pruned(spark, docs):
+    rng = random.Random(4)
+    word = lambda: rng.choice("abcdefgh") + str(rng.randrange(10**6))
+    sizes = [1, 3, 6, 12, 25, 50, 100, 200, 400]
+    items = [(i, " ".join(word() for _ in range(n + 4))) for i, n in enumerate(sizes)]
+    rows = [(i, " ".join([word() for _ in range(30)] + text.split()[: -max(1, n // 6)] + ["end"])) for i, ((_, text), n) in enumerate(zip(items, sizes))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(rows, items)
+    assert [x[0] for x in want] == [i for i in range(len(sizes)) if sizes[i] > 3] and {m.size_part(sizes[x[1]]) for x in want} == {2, 3, 4, 5, 6, 7, 8}
+    assert sorted((r.doc_id, r.item_id, r.item_shingles, r.shared) for r in leaks(docs(rows), table).collect()) == want
+    for part, n in ((2, 4), (4, 16), (8, 511)):  # one k for a partition is enough for all of its sizes
+        assert m.sketch_size(part, 0.8) >= n - -(-8 * n // 10) + 1 and m.size_part(n) == part
+    held = [(i, 0, t) for i, t in items]
+    sketches = [r for b in m._sketch_rows(iter([pa.record_batch([pa.array([i for i, _ in items]), pa.array([0] * len(items)), pa.array([t for _, t in items])], names=["doc_id", "th", "text"])]), 5, 0.8) for r in zip(*[c.to_pylist() for c in b.columns])]
+    probe = m._Probe(held, [(i, th, part, h, k) for i, th, _, part, h, k in sketches], 5, 0.8)
+    short = " ".join(items[-1][1].split()[:40])  # holds sketch hashes of the largest item, but cannot hold 80% of it
+    for w in m.words(pa.array([short, items[-1][1]]), lower=True):
+        assert set(probe.candidates(w)) == {1}
