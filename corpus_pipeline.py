@@ -3,6 +3,10 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last return the columns
 of ``documents``.  A stage's result is written as Parquet in the shared folder and read as the next
 one's ``docs``.
+
+Defined cases, for every stage: a null text is an empty one (and stays null where the stage keeps the row); null ids are
+kept as documents of their own and tested by their texts; rows equal in id and text get equal verdicts; texts of any
+length are read whole; other columns, whatever their names, are passed on; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,13 +34,13 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents scored 0.5 or more; learns from the labels outside the held-out fold."""
+    """Rejects documents scored 0.5 or more; learns from the labels outside the held-out fold (without any, nothing is rejected)."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold(F.col("doc_id")) != 0)
     return unpacked(toxicity(packed(docs), labels).filter("score < 0.5"), docs)
 
 
 def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes later near-duplicate lines; every document stays, if without words."""
+    """Removes later near-duplicate lines; every document stays, if without words.  ``n_chars`` follows the text, 0 for null."""
     out = line_dedup(packed(docs))
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     return unpacked(out, docs, text=text, n_chars=F.coalesce(F.length(text).cast("long"), F.lit(0).cast("long")))
