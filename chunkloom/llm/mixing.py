@@ -9,7 +9,7 @@ sample: it moves the probabilities of three documents at a time along the null-s
 equations (words and documents), until one of them is 0 or 1; expectations never change.  Blocks of a
 source's documents fly in parallel and leave two undecided documents each; these meet in the blocks of
 the next level, until one block per source is left.  A block's large documents fly first, so that mostly small ones
-are left; the last two land where the source's words come nearest the target, if need be with one other document turned.
+are left; the last two land where the source's words come nearest the target.
 
 A source with a third of all documents is many blocks; a block holds about ``BLOCK`` small rows without
 texts.  One row per source (about 100 bytes) reaches the driver, which shares the targets among them in order, so a few
@@ -93,22 +93,12 @@ def flight(p: list[float], size: list[float], rng: random.Random) -> list[float]
 
 
 def landing(x: list[float], size: list[float]) -> list[float]:
-    """Round the fractional values so that the sum of x*size moves least; one decided document is turned where that brings it nearer."""
+    """Round the fractional values so that the sum of x*size moves least."""
     open_ = [i for i, v in enumerate(x) if 0 < v < 1]
-    if not open_:
-        return x
-    best = None
-    for m in range(1 << len(open_)):
-        moved = sum(((m >> k & 1) - x[i]) * size[i] for k, i in enumerate(open_))
-        turns = [(abs(moved), -1)] + [(abs(moved + (size[j] if x[j] == 0 else -size[j])), j) for j in range(len(x)) if x[j] in (0, 1)]
-        least = min(turns)
-        if best is None or least[0] < best[0]:
-            best = (*least, m)
-    _, turn, m = best
-    if turn >= 0:
-        x[turn] = 1 - x[turn]
+    moves = [(abs(sum(((m >> k & 1) - x[i]) * size[i] for k, i in enumerate(open_))), m) for m in range(1 << len(open_))]
+    best = min(moves)[1]
     for k, i in enumerate(open_):
-        x[i] = float(m >> k & 1)
+        x[i] = float(best >> k & 1)
     return x
 
 

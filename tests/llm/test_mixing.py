@@ -33,7 +33,7 @@ def test_flight_is_fair():
 
 
 def test_targets_and_sample_against_plain_python(spark):
-    """Sizes, targets and whole copies exactly; the sample's words within one small document of each source's target."""
+    """Sizes, targets and whole copies exactly; the sample's words within one document of each source's target."""
     rng = random.Random(8)
     rows = [(i, " ".join("w" for _ in range(rng.choice([1, 3, 9, 30, 200]))), f"s{i % 4}") for i in range(1200)]
     size = defaultdict(int)
@@ -55,7 +55,7 @@ def test_targets_and_sample_against_plain_python(spark):
         assert r.size == len(rows[r.doc_id][1].split()) and r.source_size == size[r.source] and r.target == pytest.approx(target[r.source])
         assert r.copies - int(target[r.source] / size[r.source] + 1e-9) in (0, 1) and r.taken == r.copies * r.size
         taken[r.source] += r.taken
-    assert all(abs(taken[s] - target[s]) <= 30 for s in size)
+    assert all(abs(taken[s] - target[s]) <= 200 for s in size)
 
 
 def test_inclusion_probabilities_hold():
