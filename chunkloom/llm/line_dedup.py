@@ -25,8 +25,9 @@ frequent words: two different matching sets share two words, and the first two t
 the prefix of one word more.  (Lines of over ``PAIR_WORDS`` words meet on single words, as their pairs
 would be too many.)
 
-Classes are known by 128-bit hashes of their words' 56-bit hashes, and by 64 bits of those in joins: among
-N classes two share an id with a chance of about N * N / 2**65 (3e-7 for 2 million, 3% for 10**9).
+Classes are known by 128-bit hashes of their words' 56-bit hashes, and in joins by the place of their first line.
+Two different lines are taken as one class only if their words' hashes agree: two words of 10**9 share a 56-bit
+hash about 7 times in a whole vocabulary of that size, and then two lines must differ in just that word.
 
 Defined cases: null text is one empty line; lines without words are kept; rows equal in id and text are
 one document; null ids come last; documents with equal ids are ordered by a hash of their texts; other
@@ -46,7 +47,7 @@ THRESHOLD = 0.8
 RARITY_BITS = 18
 MARK_BITS = 20
 PAIR_WORDS = 64
-LONG_WORDS = 80
+LONG_WORDS = 24
 LEADERS = 16
 HOT_COUNT = 256
 HOT_LOADS = 4
@@ -102,11 +103,16 @@ def _prefix(n: Column, share: float) -> Column:
     return (n - F.ceil(share * n - 1e-9) + 1).cast("int")
 
 
-def _position(doc_id: Column, th: Column, line_no: Column) -> Column:
-    """One number that orders lines by document, then line."""
-    whole = "decimal(38,0)"
-    doc = F.coalesce(doc_id, F.lit((1 << 63) - 1)).cast(whole) * F.lit(10**9).cast("decimal(10,0)")
-    return ((doc + F.pmod(th, F.lit(10**9))).cast("decimal(28,0)") * F.lit(10**10).cast("decimal(11,0)") + line_no).cast(whole)
+def _place() -> tuple[Column, Column]:
+    """``(d, r)``: two numbers that order lines by document, then line, of rows ``(doc_id, th, line_no)``."""
+    low = F.lit((1 << 31) - 1).cast("long")
+    inside = F.shiftleft(F.col("th").bitwiseAND(low), 32).bitwiseOR(F.col("line_no").cast("long"))
+    return F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), inside.alias("r")
+
+
+def _after(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
+    """Whether place a comes after place b."""
+    return (a[0] > b[0]) | ((a[0] == b[0]) & (a[1] > b[1]))
 
 
 def _signed_lines(docs: DataFrame, table: bytes, level: int, threshold: float) -> DataFrame:
@@ -136,7 +142,6 @@ def _signed_lines(docs: DataFrame, table: bytes, level: int, threshold: float) -
         "doc_id",
         "th",
         "line_no",
-        F.xxhash64("line").alias("lh"),
         "n",
         F.xxhash64("sig").alias("s1"),
         F.xxhash64(F.lit(7), "sig").alias("s2"),
@@ -175,14 +180,27 @@ def _meet(a: str, b: str, threshold: float, second: bool = False) -> Column:
         place = (na - i >= overlap) & (nb - j >= overlap) & (na - F.col(f"{a}.j") >= overlap - 1) & (nb - F.col(f"{b}.j") >= overlap - 1)
     else:  # any shared word: no more than the lesser of its places can be shared before it
         place = (na - i + F.least(i, j) >= overlap) & (nb - j + F.least(i, j) >= overlap)
-    order = (na < nb) | ((na == nb) & (F.col(f"{a}.id") < F.col(f"{b}.id")))
+    place_of = lambda x: (F.col(f"{x}.d"), F.col(f"{x}.r"))
+    order = (na < nb) | ((na == nb) & _after(place_of(b), place_of(a)))
     return (F.col(f"{a}.w") == F.col(f"{b}.w")) & order & place & _may_match(a, b, threshold)
 
 
+_PAIR = ("ld", "lr", "ed", "er")
+
+
+def _pairs(threshold: float) -> list[Column]:
+    """``ld, lr, ed, er, apart, overlap`` of joined rows a and b: places of the later and the earlier class, parity bits apart, words needed."""
+    swap = _after((F.col("a.d"), F.col("a.r")), (F.col("b.d"), F.col("b.r")))
+    pick = lambda x, y, c: F.when(swap, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}"))
+    places = [pick(x, y, c).alias(f"{k}{c}") for k, x, y in (("l", "a", "b"), ("e", "b", "a")) for c in "dr"]
+    return [*places, _apart("a", "b").alias("apart"), _overlap(F.col("a.n"), F.col("b.n"), threshold).cast("int").alias("overlap")]
+
+
 def _candidates(a: DataFrame, b: DataFrame, on: Column, threshold: float, least: Column | None = None) -> DataFrame:
-    """Distinct pairs ``(x, y, d)`` that meet on ``on``, as often as ``least`` says."""
-    met = a.alias("a").join(b.alias("b"), on).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"), _apart("a", "b").alias("d"), (F.lit(1) if least is None else least).cast("int").alias("least"))
-    return met.groupBy("x", "y").agg(F.min("d").alias("d"), F.min("least").alias("least"), F.count("*").alias("met")).filter("met >= least").select("x", "y", "d")
+    """Distinct pairs that meet on ``on``, as often as ``least`` says."""
+    met = a.alias("a").join(b.alias("b"), on).select(*_pairs(threshold), (F.lit(1) if least is None else least).cast("int").alias("least"))
+    met = met.groupBy(*_PAIR).agg(*[F.min(c).alias(c) for c in ("apart", "overlap", "least")], F.count("*").alias("met"))
+    return met.filter("met >= least").select(*_PAIR, "apart", "overlap")
 
 
 def _shared_words(threshold: float) -> Column:
@@ -195,50 +213,39 @@ def _shared_words(threshold: float) -> Column:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``lh, line`` of the lines whose hashes are among ``wanted(lh)``, distinct; a table of bits spares most others the shuffle while they are few."""
-    bucket = lambda c: _bucket(c, MARK_BITS)
-    some = _collected(wanted.select(bucket(F.col("lh")).alias("b"), F.lit(1).alias("v")).distinct(), MARK_BITS)
+    """``d, r, line`` of the lines at the places ``wanted(d, r)``; a table of bits spares most others the shuffle while they are few."""
+    bucket = lambda: _bucket(F.xxhash64("d", "r"), MARK_BITS)
+    some = _collected(wanted.select(bucket().alias("b"), F.lit(1).alias("v")).distinct(), MARK_BITS)
     packed = bytes(some[i] | some[i + 1] << 1 | some[i + 2] << 2 | some[i + 3] << 3 for i in range(0, len(some), 4))
-    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select("line", F.xxhash64("line").alias("lh"))
-    at = bucket(F.col("lh"))
-    marked = F.call_function("shiftright", _lookup(packed, F.shiftright(at, 2)), at.bitwiseAND(F.lit(3))).bitwiseAND(F.lit(1)) == 1
-    lines = lines.filter(marked).join(wanted, "lh", "left_semi")
-    return materialize(lines.groupBy("lh").agg(F.first("line").alias("line")), "texts")
+    lines = docs.select("doc_id", "th", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).select(*_place(), "line")
+    marked = F.call_function("shiftright", _lookup(packed, F.shiftright(bucket(), 2)), bucket().bitwiseAND(F.lit(3))).bitwiseAND(F.lit(1)) == 1
+    return materialize(lines.filter(marked).join(wanted, ["d", "r"], "left_semi"), "texts")
 
 
 def _similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Ids ``late`` of ``pairs(late, ll, le, overlap)``, hashes of a later and an earlier line, that share ``overlap`` words."""
+    """Places ``ld, lr`` of the later classes of ``pairs`` that share the words needed with the earlier."""
     # whole lines travel and are split after the joins, once: an array of strings takes three times the room
-    both = pairs.join(texts.select(F.col("lh").alias("ll"), F.col("line").alias("a")), "ll").join(texts.select(F.col("lh").alias("le"), F.col("line").alias("b")), "le")
+    end = lambda k, name: texts.select(F.col("d").alias(f"{k}d"), F.col("r").alias(f"{k}r"), F.col("line").alias(name))
+    both = pairs.select(*_PAIR, "overlap").join(end("l", "a"), ["ld", "lr"]).join(end("e", "b"), ["ed", "er"])
     shared = F.size(F.array_intersect(_words(F.col("a")), _words(F.col("b"))))
-    return materialize(both.filter(shared >= F.col("overlap")).select("late").distinct(), "similar")
+    return materialize(both.filter(shared >= F.col("overlap")).select("ld", "lr").distinct(), "similar")
 
 
-def _named(classes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """``late, ll, le, d, overlap``: ``pairs(x, y, d)`` of class ids in order of position, with hashes of their lines and the overlap they need."""
-    end = lambda k: classes.select(*[F.col(c).alias(v) for c, v in (("id", k), ("pos", f"p{k}"), ("lh", f"l{k}"), ("n", f"n{k}"))])
-    named = pairs.join(end("x"), "x").join(end("y"), "y")
-    swap = F.col("px") > F.col("py")
-    pick = lambda a, b: F.when(swap, F.col(a)).otherwise(F.col(b))
-    overlap = _overlap(F.col("nx"), F.col("ny"), threshold).cast("int")
-    return materialize(named.select(pick("x", "y").alias("late"), pick("lx", "ly").alias("ll"), pick("ly", "lx").alias("le"), "d", overlap.alias("overlap")), "named")
-
-
-def _decided(texts: DataFrame, named: DataFrame) -> DataFrame:
-    """Ids ``late`` of classes that match an earlier one: the nearest is tried first, the others where it fails."""
-    nearest = named.groupBy("late").agg(F.min(F.struct("d", "le", "ll", "overlap")).alias("e")).select("late", "e.ll", "e.le", "e.overlap")
+def _decided(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Places ``ld, lr`` of classes that match an earlier one: the nearest is tried first, the others where it fails."""
+    nearest = pairs.groupBy("ld", "lr").agg(F.min(F.struct("apart", "ed", "er", "overlap")).alias("e")).select("ld", "lr", "e.*")
     nearest = materialize(nearest, "nearest")
     found = _similar(texts, nearest)
-    others = named.join(nearest.join(found, "late", "left_anti").select("late", F.col("le").alias("tried")), "late").filter("le <> tried")
-    others = materialize(others.select("late", "ll", "le", "overlap"), "others")
+    failed = nearest.join(found, ["ld", "lr"], "left_anti").select("ld", "lr", F.col("ed").alias("td"), F.col("er").alias("tr"))
+    others = materialize(pairs.join(failed, ["ld", "lr"]).filter("ed <> td or er <> tr").drop("td", "tr"), "others")
     more = _similar(texts, others)
     discard(nearest, others)
     return found.union(more).distinct()
 
 
 def _hot_keys(classes: DataFrame, threshold: float) -> DataFrame:
-    """Rows ``(w, i, j, id, pos, n, p, q)`` on which classes with frequent words meet: pairs of those words, or single ones of long lines."""
-    own = ["id", "pos", "n", "p", "q"]
+    """Rows ``(w, i, j, d, r, n, p, q)`` on which classes with frequent words meet: pairs of those words, or single ones of long lines."""
+    own = ["d", "r", "n", "p", "q"]
     rows = classes.select(*own, "at", "hot", F.posexplode("hot").alias("k", "u"))
     pairs = rows.filter(F.col("n") <= PAIR_WORDS).select(*own, (F.col("at") + F.col("k")).alias("i"), "u", "at", F.posexplode("hot").alias("l", "v"))
     pairs = pairs.withColumn("j", F.col("at") + F.col("l")).filter("j > i").select(F.xxhash64("u", "v").alias("w"), "i", "j", *own)
@@ -246,6 +253,22 @@ def _hot_keys(classes: DataFrame, threshold: float) -> DataFrame:
     return pairs.union(single.select(F.col("u").alias("w"), "i", F.lit(-1).alias("j"), *own))
 
 
+def _led(classes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of classes with frequent words and early classes of the same word and size."""
+    placed = classes.select("d", "r", "n", F.explode(F.slice("hot", 1, 2)).alias("w"))
+    lead = placed.groupBy("w", "n", F.pmod(F.xxhash64("d", "r"), F.lit(LEADERS)).alias("turn")).agg(F.min(F.struct("d", "r")).alias("lead"))
+    lead = materialize(lead.select("w", "n", F.col("lead.d").alias("ed"), F.col("lead.r").alias("er")), "lead")
+    later = _after((F.col("d"), F.col("r")), (F.col("ed"), F.col("er")))
+    led = materialize(placed.join(lead, ["w", "n"]).filter(later).select("d", "r", "ed", "er").distinct(), "led")
+    own = classes.select("d", "r", "n", "p", "q")
+    early = own.withColumnsRenamed({"d": "ed", "r": "er"}).alias("e")
+    with_early = led.join(early, ["ed", "er"]).select("d", "r", F.struct(F.col("ed").alias("d"), F.col("er").alias("r"), "n", "p", "q").alias("b"))
+    both = with_early.join(own.withColumn("a", F.struct("d", "r", "n", "p", "q")).select("d", "r", "a"), ["d", "r"]).select("a", "b")
+    out = materialize(both.filter(_may_match("a", "b", threshold)).select(*_pairs(threshold)), "near")
+    discard(lead, led)
+    return out
+
+
 def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, th, gone``: for each document of ``docs(doc_id, th, text)`` that loses lines, their numbers in order."""
     if not 0.5 < threshold <= 1:
@@ -255,48 +278,41 @@ def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lines = materialize(_signed_lines(docs, table, _hot_level(table), threshold), "lines")
     del table
     release(spark)
-    position = _position(F.col("doc_id"), F.col("th"), F.col("line_no"))
-    firsts = [F.first(c).alias(c) for c in ("lh", "n", "cold", "hot", "at", "p", "q")]
-    classes = lines.groupBy("s1", "s2").agg(F.min(position).alias("pos"), F.count("*").alias("copies"), *firsts)
-    classes = materialize(classes.withColumn("id", F.col("s1").bitwiseXOR(F.shiftleft("s2", 1))), "classes")
+    firsts = [F.first(c).alias(c) for c in ("n", "cold", "hot", "at", "p", "q")]
+    classes = lines.groupBy("s1", "s2").agg(F.min(F.struct(*_place())).alias("first"), F.count("*").alias("copies"), *firsts)
+    classes = materialize(classes.select("s1", "s2", "first.d", "first.r", "copies", "n", "cold", "hot", "at", "p", "q"), "classes")
     release(spark)
     # half of the hash is enough to meet on: what else meets is not verified
-    rows = classes.select("id", "n", (_prefix(F.col("n"), threshold) - F.size("cold")).alias("h"), "p", "q", F.posexplode("cold").alias("i", "w"))
-    pairs = materialize(_candidates(rows, rows, _meet("a", "b", threshold), threshold, _shared_words(threshold)), "cold")
+    rows = classes.select("d", "r", "n", (_prefix(F.col("n"), threshold) - F.size("cold")).alias("h"), "p", "q", F.posexplode("cold").alias("i", "w"))
+    cold = materialize(_candidates(rows, rows, _meet("a", "b", threshold), threshold, _shared_words(threshold)), "cold")
     del rows
     release(spark)
-    some_hot = classes.filter(F.size("hot") > 0)
-    placed = some_hot.select("id", "pos", "n", F.explode(F.slice("hot", 1, 2)).alias("w"))
-    lead = placed.groupBy("w", "n", F.pmod("id", F.lit(LEADERS)).alias("turn")).agg(F.min("pos").alias("lead"))
-    lead = materialize(lead.select("w", "n", "lead"), "lead")
-    led = materialize(placed.join(lead, ["w", "n"]).filter("pos > lead").select("id", "lead").distinct(), "led")
-    leaders = some_hot.select(F.col("pos").alias("lead"), F.col("id").alias("y"), "n", "p", "q").alias("b")
-    near = led.join(leaders, "lead").alias("b").join(some_hot.select("id", "n", "p", "q").alias("a"), "id")
-    near = materialize(near.filter(_may_match("a", "b", threshold)).select(F.col("id").alias("x"), "y", _apart("a", "b").alias("d")), "near")
-    named = _named(classes, pairs.union(near), threshold)
-    wanted = named.select(F.explode(F.array("ll", "le")).alias("lh")).union(some_hot.select("lh")).distinct()
-    wanted = materialize(wanted, "wanted")
+    some_hot = materialize(classes.filter(F.size("hot") > 0).drop("cold", "s1", "s2"), "somehot")
+    near = _led(some_hot, threshold)
+    pairs = cold.union(near)
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("ld").alias("d"), F.col("lr").alias("r")), F.struct(F.col("ed").alias("d"), F.col("er").alias("r")))).alias("e")).select("e.d", "e.r")
+    wanted = materialize(ends.union(some_hot.select("d", "r")).distinct(), "wanted")
     texts = _texts(docs, wanted)
     release(spark)
-    decided = _decided(texts, named)
-    discard(pairs, near, lead, led, named, wanted)
+    decided = _decided(texts, pairs)
+    discard(cold, near, wanted)
     hot = materialize(_hot_keys(some_hot, threshold), "hot")
-    open_ = materialize(hot.join(decided, hot["id"] == decided["late"], "left_anti"), "open")
+    open_ = materialize(hot.join(decided, (hot["d"] == decided["ld"]) & (hot["r"] == decided["lr"]), "left_anti"), "open")
     found = []
     for small, large, late in ((open_, hot, "a"), (hot, open_, "b")):
         early = "ab".replace(late, "")
-        on = _meet("a", "b", threshold, True) & (F.col(f"{late}.pos") > F.col(f"{early}.pos"))
+        on = _meet("a", "b", threshold, True) & _after((F.col(f"{late}.d"), F.col(f"{late}.r")), (F.col(f"{early}.d"), F.col(f"{early}.r")))
         on = on & ((F.col("a.j") >= 0) == (F.col("b.j") >= 0)) & ((F.col("a.j") >= 0) | (F.col("b.n") > PAIR_WORDS))
         found.append(_candidates(small, large, on, threshold))
     more = materialize(found[0].union(found[1]), "hotpairs")
     if not more.isEmpty():
-        decided = decided.union(_decided(texts, _named(some_hot, more, threshold))).distinct()
-    late = materialize(decided.select(F.col("late").alias("id"), F.lit(True).alias("late")), "decided")
+        decided = decided.union(_decided(texts, more)).distinct()
+    late = materialize(decided.select(F.col("ld").alias("d"), F.col("lr").alias("r"), F.lit(True).alias("late")), "decided")
     # classes of one line that matches nothing have nothing to remove
-    firsts = classes.select("s1", "s2", "id", F.col("pos").alias("first"), "copies").join(late, "id", "left").filter("late or copies > 1")
-    firsts = materialize(firsts.select("s1", "s2", "first", F.coalesce("late", F.lit(False)).alias("late")), "firsts")
-    discard(classes, hot, open_, more, late, texts)
-    flags = lines.select("doc_id", "th", "line_no", "s1", "s2").join(firsts, ["s1", "s2"]).filter(F.col("late") | (position > F.col("first")))
+    firsts = classes.select("s1", "s2", "d", "r", "copies").join(late, ["d", "r"], "left").filter("late or copies > 1")
+    firsts = materialize(firsts.select("s1", "s2", F.col("d").alias("fd"), F.col("r").alias("fr"), F.coalesce("late", F.lit(False)).alias("late")), "firsts")
+    discard(classes, some_hot, hot, open_, more, late, texts)
+    flags = lines.select("doc_id", "th", "line_no", "s1", "s2").join(firsts, ["s1", "s2"]).filter(F.col("late") | _after(_place(), (F.col("fd"), F.col("fr"))))
     out = materialize(flags.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("line_no")).alias("gone")), "gone")
     discard(lines, firsts)
     release(spark)
