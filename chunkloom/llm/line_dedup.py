@@ -247,8 +247,9 @@ def _hot_keys(classes: DataFrame, threshold: float) -> DataFrame:
     """Rows ``(w, i, j, d, r, n, p, q)`` on which classes with frequent words meet: pairs of those words, or single ones of long lines."""
     own = ["d", "r", "n", "p", "q"]
     rows = classes.select(*own, "at", "hot", F.posexplode("hot").alias("k", "u"))
-    pairs = rows.filter(F.col("n") <= PAIR_WORDS).select(*own, (F.col("at") + F.col("k")).alias("i"), "u", "at", F.posexplode("hot").alias("l", "v"))
-    pairs = pairs.withColumn("j", F.col("at") + F.col("l")).filter("j > i").select(F.xxhash64("u", "v").alias("w"), "i", "j", *own)
+    after = F.slice("hot", F.col("k") + 2, F.size("hot"))
+    pairs = rows.filter(F.col("n") <= PAIR_WORDS).select(*own, (F.col("at") + F.col("k")).alias("i"), "u", F.posexplode(after).alias("l", "v"))
+    pairs = pairs.select(F.xxhash64("u", "v").alias("w"), "i", (F.col("i") + 1 + F.col("l")).alias("j"), *own)
     single = rows.filter(F.col("n") >= threshold * PAIR_WORDS).withColumn("i", F.col("at") + F.col("k")).filter(F.col("i") < _prefix(F.col("n"), threshold))
     return pairs.union(single.select(F.col("u").alias("w"), "i", F.lit(-1).alias("j"), *own))
 
