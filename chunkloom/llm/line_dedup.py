@@ -19,8 +19,9 @@ prefix words as the needed overlap leaves to the prefixes go on.  Of each later
 is verified on the words themselves first, and the others only where that one fails.
 
 *Hot words.*  Where a prefix word is frequent (``HOT_COUNT``, above the mean load of buckets), variants of one line would meet as all
-pairs.  Classes with such words are first compared with ``LEADERS`` early classes of the same word and size only;
-those that match are decided, and take no part as the later side afterwards.  The rest meet on pairs of
+pairs.  Classes with such words are first compared with ``LEADERS`` early classes of the same size and word only, for
+each of their ``LEAD_WORDS`` rarest frequent words; those that match are decided, and take no part as the later side
+afterwards.  The rest meet on pairs of
 frequent words: two different matching sets share two words, and the first two they share stand within
 the prefix of one word more.  (Lines of over ``PAIR_WORDS`` words meet on single words, as their pairs
 would be too many.)
@@ -48,7 +49,8 @@ RARITY_BITS = 18
 MARK_BITS = 20
 PAIR_WORDS = 64
 LONG_WORDS = 24
-LEADERS = 16
+LEAD_WORDS = 6
+LEADERS = 4
 HOT_COUNT = 256
 HOT_LOADS = 4
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -255,8 +257,8 @@ def _hot_keys(classes: DataFrame, threshold: float) -> DataFrame:
 
 
 def _led(classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of classes with frequent words and early classes of the same word and size."""
-    placed = classes.select("d", "r", "n", F.explode(F.slice("hot", 1, 2)).alias("w"))
+    """Pairs of classes with frequent words and early classes of the same size and one of the ``LEAD_WORDS`` rarest of these words."""
+    placed = classes.select("d", "r", "n", F.explode(F.slice("hot", 1, LEAD_WORDS)).alias("w"))
     lead = placed.groupBy("w", "n", F.pmod(F.xxhash64("d", "r"), F.lit(LEADERS)).alias("turn")).agg(F.min(F.struct("d", "r")).alias("lead"))
     lead = materialize(lead.select("w", "n", F.col("lead.d").alias("ed"), F.col("lead.r").alias("er")), "lead")
     later = _after((F.col("d"), F.col("r")), (F.col("ed"), F.col("er")))
@@ -297,8 +299,9 @@ def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     release(spark)
     decided = _decided(texts, pairs)
     discard(cold, near, wanted)
+    same = lambda a, b: (a["d"] == b["ld"]) & (a["r"] == b["lr"])
     hot = materialize(_hot_keys(some_hot, threshold), "hot")
-    open_ = materialize(hot.join(decided, (hot["d"] == decided["ld"]) & (hot["r"] == decided["lr"]), "left_anti"), "open")
+    open_ = materialize(hot.join(decided, same(hot, decided), "left_anti"), "open")
     found = []
     for small, large, late in ((open_, hot, "a"), (hot, open_, "b")):
         early = "ab".replace(late, "")
