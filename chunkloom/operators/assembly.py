@@ -31,16 +31,26 @@ def fallback_chunks(window_rows: DataFrame, least: int = 300, budget: int = 1200
     return keyed.select("k", "doc_id", "source", "window_index").join(rows, "k").drop("k")
 
 
+def numbered(chunks: DataFrame) -> DataFrame:
+    """``chunks`` with their place ``ord`` in the document, ``bare`` title and ``chunk_id``."""
+    order = F.row_number().over(W.partitionBy("doc_id").orderBy("window_index", "chunk_index")) - 1
+    rows = chunks.withColumn("ord", order.cast("int")).withColumn("bare", T.clean_title(F.col("title")))
+    group = F.when(F.col("window_index") == 0, "").otherwise(F.col("window_index").cast("string"))
+    return links.with_ids(rows, group)
+
+
 def assemble(chunks: DataFrame, window_rows: DataFrame, count: TokenCounter = chars4) -> DataFrame:
     """Linked chunks of ``chunks(doc_id, source, window_index, chunk_index, title, summary, level, chunk_type, content, producer)``.
 
     Headings open at a window's start count as levels 1, 2, .. of it.  Titles point to the last chunk of the
     same title and level anywhere in the document.
     """
-    order = F.row_number().over(W.partitionBy("doc_id").orderBy("window_index", "chunk_index")) - 1
-    rows = chunks.withColumn("ord", order.cast("int")).withColumn("bare", T.clean_title(F.col("title")))
-    group = F.when(F.col("window_index") == 0, "").otherwise(F.col("window_index").cast("string"))
-    rows = stored(links.with_ids(rows, group))
+    return linked(stored(numbered(chunks)), window_rows, count)
+
+
+def linked(whole: DataFrame, window_rows: DataFrame, count: TokenCounter = chars4) -> DataFrame:
+    """Links of rows of :func:`numbered`, which are read twice.  They are made without the texts, which meet them at the end."""
+    rows = whole.select("doc_id", "ord", "window_index", "chunk_id", "bare", "level", "chunk_type")
     seeds = window_rows.select("doc_id", "window_index", "leading_heading_path").join(links.last_ids(rows, "bare"), "doc_id", "left")
     titled = lambda t: F.filter("last", lambda m: m["title"] == t)
     exact = lambda t, i: F.filter("last", lambda m: (m["title"] == t) & (m["level"] == i + 1))
@@ -55,6 +65,8 @@ def assemble(chunks: DataFrame, window_rows: DataFrame, count: TokenCounter = ch
     chain = F.transform("parent_titles", lambda t: t["title"])
     rows = links.with_neighbours(rows).withColumn("chain", chain)
     rows = links.with_siblings(rows, "chain", "bare", "level", "chunk_type")
+    rows = rows.select(F.col("doc_id").alias("_doc"), F.col("ord").alias("_ord"), "parent_chunk_id", "parent_titles", "prev_chunk_id", "next_chunk_id", "sibling_chunk_ids", "chain")
+    rows = whole.join(rows, whole["doc_id"].eqNullSafe(rows["_doc"]) & (whole["ord"] == rows["_ord"]))
     titles = F.array_join("chain", " > ")
     name = T.file_name(F.col("source"))
     anchor = F.concat_ws(" > ", F.when(name != "", name), F.when(titles != "", titles))

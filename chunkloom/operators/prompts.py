@@ -103,7 +103,7 @@ def attempted(
     for turn in range(1, attempts + 1):
         offered = stored(provider(open_))
         some, found = proposals.validated(offered, window_rows, max_tokens, slack, gap, count)
-        some, found = stored(some), stored(found)
+        found = stored(found)  # the chunks are read from a table already
         chunks = some if chunks is None else chunks.unionByName(some)
         verdicts = found if verdicts is None else verdicts.unionByName(found)
         if turn == attempts or getattr(provider, "fixed", False):

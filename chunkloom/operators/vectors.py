@@ -25,12 +25,13 @@ def terms(text: Column) -> Column:
 def sparse_bm25(texts: DataFrame, k: float = 1.2, b: float = 0.75) -> DataFrame:
     """``id, term, tf, weight``: BM25 document weights of the terms of ``texts(id, text)``.
 
-    Counts per (id, term) are shuffled once; lengths and the mean length come from the same rows.
+    Texts are shuffled once, by id; terms are counted where they lie, and only lengths are shuffled for the mean length.
     """
-    rows = texts.select("id", F.explode(terms(F.col("text"))).alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
-    per_text = rows.groupBy("id").agg(F.sum("tf").alias("length"))
-    mean = per_text.agg(F.avg("length").alias("mean"))
-    rows = rows.join(per_text, "id").join(F.broadcast(mean))
+    sizes = texts.select("id", F.size(terms(F.col("text"))).alias("n")).filter("n > 0")
+    mean = sizes.groupBy("id").agg(F.sum("n").alias("length")).agg(F.avg("length").alias("mean"))
+    rows = texts.select("id", "text").repartition("id").select("id", F.explode(terms(F.col("text"))).alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
+    length = F.sum("tf").over(W.partitionBy("id").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    rows = rows.filter("id is not null").withColumn("length", length).join(F.broadcast(mean))
     weight = F.col("tf") * (k + 1) / (F.col("tf") + k * (1 - b + b * F.col("length") / F.col("mean")))
     return rows.select("id", "term", "tf", weight.alias("weight"))
 

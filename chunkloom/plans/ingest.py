@@ -18,7 +18,7 @@ from chunkloom.functions.tokens import TokenCounter, chars4
 from chunkloom.operators import assembly, prompts, proposals, vectors
 from chunkloom.operators.windows import windows
 from chunkloom.sources.files import input_error
-from chunkloom.sources.shared import stored
+from chunkloom.sources.shared import settled, stored
 from chunkloom.sources.sinks import points
 
 _COLUMNS = ["doc_id", "source", "window_index", "chunk_index", "title", "summary", "level", "chunk_type", "content", "producer"]
@@ -31,15 +31,29 @@ def accepted_input(md: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(one).select("r.user_id", "doc_id", "r.source", "r.markdown")
 
 
+def _users(md: DataFrame) -> DataFrame:
+    """``doc_id, user_id`` of :func:`accepted_input`, without moving the texts."""
+    rows = md.filter(input_error(md).isNull()).select("doc_id", "user_id", F.xxhash64("user_id", "source", "markdown").alias("h"))
+    return rows.groupBy("doc_id").agg(F.min_by("user_id", "h").alias("user_id"))
+
+
 def _linked(md: DataFrame, provider: proposals.BoundaryProvider, use: Settings, count: TokenCounter) -> DataFrame:
-    window_rows = stored(windows(md.select("doc_id", "source", "markdown"), use.window_budget_tokens, use.window_threshold_tokens, count))
+    def linked() -> DataFrame:
+        window_rows = settled(lambda: windows(md.select("doc_id", "source", "markdown"), use.window_budget_tokens, use.window_threshold_tokens, count))
+        rows = settled(lambda: assembly.numbered(_chunk_rows(window_rows, provider, use, count)))
+        return assembly.linked(rows, window_rows, count)
+
+    return settled(linked)
+
+
+def _chunk_rows(window_rows: DataFrame, provider: proposals.BoundaryProvider, use: Settings, count: TokenCounter) -> DataFrame:
     normal = window_rows.filter("not oversized")
     chunks, attempts = prompts.attempted(normal, provider, use.max_attempts, use.max_chunk_tokens, use.token_slack, use.gap_snap, count)
     failed = prompts.failed_documents(attempts).select("doc_id")
     agent = proposals.accepted(chunks, attempts).join(normal.select("doc_id", "window_index", "source"), ["doc_id", "window_index"]).withColumn("producer", F.lit("agent"))
     rule = assembly.fallback_chunks(proposals.exhausted(normal, attempts), use.splitter_min_tokens, use.max_chunk_tokens, count)
     rows = agent.select(*_COLUMNS).unionByName(rule.select(*_COLUMNS)).unionByName(assembly.oversized_chunks(window_rows).select(*_COLUMNS))
-    return assembly.assemble(stored(rows.join(failed, "doc_id", "left_anti")), window_rows, count)
+    return rows.join(failed, "doc_id", "left_anti")
 
 
 def linked_chunks(md: DataFrame, provider: proposals.BoundaryProvider = proposals.propose_blocks, use: Settings | None = None, count: TokenCounter = chars4) -> DataFrame:
@@ -65,9 +79,8 @@ def with_vectors(chunks: DataFrame, embed: vectors.Embedder, size: int, **option
 def ingest(md: DataFrame, provider: proposals.BoundaryProvider = proposals.propose_blocks, use: Settings | None = None, count: TokenCounter = chars4, embed: vectors.Embedder | None = None) -> DataFrame:
     """Points of ``md(user_id, doc_id, source, markdown)`` with dense and sparse vectors."""
     use = use or settings("azure")
-    md = accepted_input(md)
-    chunks = with_vectors(_linked(md, provider, use, count), embed or vectors.hashed_embedder(use.vector_size), use.vector_size, token_cap=use.embed_token_cap)
-    return points(chunks.join(md.select("doc_id", "user_id"), "doc_id"))
+    chunks = with_vectors(_linked(accepted_input(md), provider, use, count), embed or vectors.hashed_embedder(use.vector_size), use.vector_size, token_cap=use.embed_token_cap)
+    return points(chunks.join(_users(md), "doc_id"))
 
 
 def rejected(md: DataFrame) -> DataFrame:
