@@ -8,8 +8,8 @@
 more characters are tested.  Of parts that overlap, the one of least p-value stands, doubled as the
 choice was of two.
 
-*Natural text* is the null hypothesis, fitted to the corpus itself: of at most ``NULL_TEXTS`` texts (those of least
-hash), without the unbroken runs that may be secrets, the characters that an encoding's alphabet has give its symbol frequencies, mixed with ``EVEN`` of the uniform
+*Natural text* is the null hypothesis, fitted to the corpus itself: of all texts,
+without the unbroken runs that may be secrets, the characters that an encoding's alphabet has give its symbol frequencies, mixed with ``EVEN`` of the uniform
 ones to allow for names with digits and capitals, and stretches of ``STRETCH`` of them the spread of the other two
 statistics.  (A corpus with fewer than ``LEAST_SYMBOLS`` of them takes those of plain prose, ``PROSE``.)  Only sums
 leave the executors.  Each test asks how often natural text looks as random as the string:
@@ -27,7 +27,7 @@ strings show (``PATTERN``) is patterned, not random: its p-value is 1.
 each band of lengths separately, at ``fdr``.  They come from a histogram of p-values of fixed size
 (``BINS`` per band), the only thing that reaches the driver.
 
-One pass over the texts without a shuffle; the rest works on the spans found.
+Two passes over the texts without a shuffle, one for natural text; the rest works on the spans found.
 
 Defined cases: null text is empty; offsets are code points, end exclusive; repeated rows get equal
 results (each of them counts as a test); null ids are kept; other columns are ignored; an empty table
@@ -44,11 +44,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from math import erfc, exp, lgamma, log, sqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkloom.llm._store import keyed, materialize
+from chunkloom.llm._words import buffers, slices
 
 # The shapes of base spans.
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -66,8 +68,8 @@ ALPHABETS = {
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
 _CODES = {e: {c: i for i, c in enumerate(a)} for e, a in ALPHABETS.items()}
-NULL_TEXTS = 2000
 STRETCH = 32
+UNIT = 1 << 20  # scores are summed in whole parts of one, so that sums do not depend on their order
 EVEN = 0.1
 LEAST_SYMBOLS = 2000
 #: Sums of squares and cubes of symbol frequencies of plain prose, for corpora too small to tell.
@@ -175,35 +177,88 @@ def battery(encoding: str, symbols: str, nulls: dict[str, Null]) -> float:
     return 1.0 if found is None else min(1.0, *(3 * p / (i + 1) for i, p in enumerate(sorted(found))))
 
 
+def _read_as(name: str) -> np.ndarray:
+    """Of each byte, the symbol of natural text that an encoding reads it as, or -1."""
+    out = np.full(256, -1, np.int8)
+    for c, i in _CODES[name].items():
+        if c not in "+/-_":
+            for x in (c.upper(), c.lower()) if name in ("hex", "base32") else c:
+                out[ord(x)] = i
+    return out
+
+
+_READ = {name: _read_as(name) for name in _CODES}
+_RUN_BYTE = np.zeros(256, bool)
+_RUN_BYTE[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"]] = True
+
+
+def _plain_bytes(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Whether each byte lies outside of unbroken runs of 16 or more, texts being ``data[edges[i]:edges[i + 1]]``."""
+    inside = np.concatenate([[False], _RUN_BYTE[data], [False]])
+    opens, closes = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
+    cut = edges[(edges > 0) & (edges < len(data))]
+    opens[cut] = inside[cut + 1]
+    closes[cut - 1] = inside[cut]
+    start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    long = end - start >= 16
+    change = np.zeros(len(data) + 1, np.int32)
+    change[start[long]] += 1
+    change[end[long]] -= 1
+    return np.cumsum(change[:-1]) == 0
+
+
+def _stretch_scores(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs and serial scores of :func:`statistics` of each row of symbols, without rows on one side of the middle."""
+    n = x.shape[1]
+    high = x * 2 >= size
+    above = high.sum(axis=1)
+    x, high, above = (v[(above > 0) & (above < n)] for v in (x, high, above))
+    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
+    mean = 1 + 2 * above * (n - above) / n
+    spread = np.sqrt(np.maximum((mean - 1) * (mean - 2) / (n - 1), 1e-9))
+    off = x - x.mean(axis=1)[:, None]  # both sides of the middle are there, so not all are equal
+    serial = np.einsum("ij,ij->i", off[:, 1:], off[:, :-1]) / np.einsum("ij,ij->i", off, off)
+    return (runs - mean) / spread, (serial + 1 / n) * sqrt(n)
+
+
 def _natural(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(encoding, symbol, n)``: sums over texts; symbols from -5 up hold the sums of :func:`null_of`'s scores."""
-    sums: Counter = Counter()
+    """``(encoding, symbol, n)``: sums over texts; symbols from -5 up hold the sums of :func:`null_of`'s scores, but the first in parts of ``UNIT``."""
+    counts = {name: np.zeros(len(a), np.int64) for name, a in ALPHABETS.items()}
+    scores = {name: [0] * 5 for name in ALPHABETS}
     for b in batches:
-        for value in b.column("text"):
-            text = CANDIDATE.sub(" ", value.as_py())
-            for name, codes in _CODES.items():
-                own = [c for c in (text.upper() if name == "base32" else text.lower() if name == "hex" else text) if c in codes and c not in "+/-_"]
-                sums.update((name, codes[c]) for c in own)
-                for at in range(0, len(own) - STRETCH + 1, STRETCH):
-                    if found := statistics(name, own[at : at + STRETCH]):
-                        for i, v in enumerate((1.0, found[1], found[1] ** 2, found[2], found[2] ** 2)):
-                            sums[name, i - 5] += v
-    keys = list(sums)
-    yield pa.record_batch([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([float(sums[k]) for k in keys], pa.float64())], names=["encoding", "symbol", "n"])
-
-
-def fitted_nulls(source: DataFrame, most: int = NULL_TEXTS) -> dict[str, Null]:
-    """Natural text in each encoding, from at most about ``most`` rows of ``source(doc_id, th, text)``: those of least hash."""
-    rows = source.withColumn("h", F.xxhash64("doc_id", "th", F.lit(3)))
-    limit = rows.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]
-    found: dict[tuple[str, int], float] = {}
-    if limit is not None:
-        some = rows.filter(F.col("h") <= limit).select("text").mapInArrow(_natural, "encoding string, symbol int, n double")
-        found = {(r.encoding, r.symbol): r.n for r in some.groupBy("encoding", "symbol").agg(F.sum("n").alias("n")).collect()}
+        offsets, raw = buffers(b.column("text"))
+        for row, last in slices(offsets):
+            edges = offsets[row : last + 1] - offsets[row]
+            data = raw[offsets[row] : offsets[last]]
+            plain = _plain_bytes(data, edges)
+            places = np.flatnonzero(plain)
+            data = data[places]
+            bounds = np.searchsorted(places, edges)
+            for name, read in _READ.items():
+                x = read[data]
+                own = np.flatnonzero(x >= 0)
+                at = np.searchsorted(own, bounds)
+                x = x[own]
+                counts[name] += np.bincount(x, minlength=len(counts[name]))
+                many = np.diff(at) // STRETCH  # of each text, whole stretches from its first symbol on
+                first = np.repeat(at[:-1] - STRETCH * (np.cumsum(many) - many), many) + STRETCH * np.arange(many.sum())
+                for k in range(0, len(first), 1 << 13):
+                    found = _stretch_scores(x[first[k : k + (1 << 13), None] + np.arange(STRETCH)].astype(np.float64), len(counts[name]))
+                    scores[name][0] += len(found[0])
+                    for i, v in enumerate((found[0], found[0] ** 2, found[1], found[1] ** 2)):
+                        scores[name][i + 1] += int(np.rint(v * UNIT).astype(np.int64).sum())
+    rows = [(name, i, n) for name in ALPHABETS for i, n in [*enumerate(counts[name].tolist()), *((i - 5, n) for i, n in enumerate(scores[name]))] if n]
+    yield pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())], names=["encoding", "symbol", "n"])
+
+
+def fitted_nulls(source: DataFrame) -> dict[str, Null]:
+    """Natural text in each encoding, from all rows of ``source(text)``."""
+    rows = source.select("text").mapInArrow(_natural, "encoding string, symbol int, n long")
+    found = {(r.encoding, r.symbol): r.n for r in rows.groupBy("encoding", "symbol").agg(F.sum("n").alias("n")).collect()}
     out = {}
     for name, alphabet in ALPHABETS.items():
         counts = {i: found.get((name, i), 0) for i in range(len(alphabet))}
-        out[name] = null_of(name, counts, [found.get((name, i - 5), 0.0) for i in range(5)])
+        out[name] = null_of(name, counts, [found.get((name, -5), 0), *(found.get((name, i - 4), 0) / UNIT for i in range(4))])
     return out
 
 

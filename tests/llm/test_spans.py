@@ -146,3 +146,32 @@ def test_random_keys_in_runs_of_mixed_alphabets(docs):
     assert sum(out[i] == [(16, 56)] for i in range(60)) >= 54
     assert sum(bool(out[100 + i]) for i in range(60)) >= 54
     assert not any(out[200 + i] for i in range(60))
+
+
+def plain_natural(texts):
+    """The sums of natural text over every text, symbol by symbol."""
+    counts, scores = {}, {}
+    for name, codes in secrets._CODES.items():
+        n, own = dict.fromkeys(range(len(codes)), 0), [0.0] * 5
+        for text in texts:
+            text = secrets.CANDIDATE.sub(" ", text or "")
+            text = text.upper() if name == "base32" else text.lower() if name == "hex" else text
+            symbols = [c for c in text if c in codes and c not in "+/-_"]
+            for c in symbols:
+                n[codes[c]] += 1
+            for at in range(0, len(symbols) - secrets.STRETCH + 1, secrets.STRETCH):
+                if found := secrets.statistics(name, symbols[at : at + secrets.STRETCH]):
+                    own = [a + b for a, b in zip(own, (1.0, found[1], found[1] ** 2, found[2], found[2] ** 2))]
+        counts[name], scores[name] = n, own
+    return {name: secrets.null_of(name, counts[name], scores[name]) for name in counts}
+
+
+def test_natural_text_is_that_of_all_texts(docs):
+    """More texts than the sample of 2000 there was; letters that are rare at first are common in the others."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(["the", "people", "of", "Zürich", "7719", "abc/def-ghi_jkl+mnopq=", "x" * 15, "a" * 16 + "b7="], k=30)) for _ in range(200)] + [None, "", "==", "é" * 40]
+    texts += [" ".join(rng.choices(["quiz", "jazz", "VEX", "66 f00d", "kayak"], k=rng.randrange(12))) for _ in range(2300)]
+    got, want = secrets.fitted_nulls(secrets.keyed(docs(list(enumerate(texts))).repartition(3))), plain_natural(texts)
+    for name in want:
+        assert got[name].squares == pytest.approx(want[name].squares, rel=1e-12) and got[name].cubes == pytest.approx(want[name].cubes, rel=1e-12)
+        assert (*got[name].runs, *got[name].serial) == pytest.approx((*want[name].runs, *want[name].serial), abs=1e-5)
