@@ -61,7 +61,7 @@ class KeyedTable:
         self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
 
     def upsert(self, rows: DataFrame, version: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        rows.write.mode("overwrite").parquet(f"{self.path}/version={version}", compression="zstd")
 
     def exists(self) -> bool:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 from chunkloom.plans.ingest import rejected
 from chunkloom.sources import sinks
 from chunkloom.sources.files import JOB
-from chunkloom.sources.shared import stored
+from chunkloom.sources.shared import scratch, settled, stored
 
 MOST_FAILURES = 64
 Ingest = Callable[[DataFrame], DataFrame]
@@ -61,7 +61,7 @@ def _ingested(found: DataFrame, ingest: Ingest, tables: JobTables, number: int)
     """
     error, said = True, ""
     try:
-        made = stored(ingest(found))
+        made = settled(lambda: ingest(found))
         error, said = tables.points.upsert(made, number)
     except Exception as bad:  # noqa: BLE001  one document must not end the others
         said = str(bad)
@@ -78,7 +78,7 @@ def _ingested(found: DataFrame, ingest: Ingest, tables: JobTables, number: int)
             reasons |= {i: said[:500] for i in some}
             continue
         try:
-            made = stored(ingest(found.filter(F.col("doc_id").isin(some))))
+            made = settled(lambda: ingest(found.filter(F.col("doc_id").isin(some))))
             good = made if good is None else good.unionByName(made)
         except Exception as bad:  # noqa: BLE001
             failures, said = failures + 1, str(bad)
@@ -102,6 +102,10 @@ def run_jobs(stream: DataFrame, documents: DataFrame, ingest: Ingest, out: str,
     tables = JobTables(spark, out, vector_size)
 
     def one(batch: DataFrame, number: int) -> None:
+        with scratch():  # a batch's tables go with it, what it leaves is in its keyed tables
+            run_batch(batch, number)
+
+    def run_batch(batch: DataFrame, number: int) -> None:
         found = stored(fetched(batch, documents))
         began = F.lit(time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime())).cast("timestamp")
         started = found.select("job_id", "user_id", "doc_id", F.lit("started").alias("status"), F.lit(None).cast("string").alias("msg"), F.lit(number).alias("version_at"))
