@@ -1,7 +1,11 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
+
+from chunkloom.llm import substring_dedup as m
 from chunkloom.llm.substring_dedup import substring_dedup
 
 
@@ -47,3 +51,16 @@ def test_spans_are_maximal_and_end_with_their_document(docs):
 
 def test_empty_table(docs):
     assert run(docs([])) == []
+
+
+def test_memory_of_a_batch_is_that_of_a_slice():
+    rng = random.Random(3)
+    texts = [" ".join(str(rng.randrange(10**6)) for _ in range(150)) for _ in range(4000)]  # 4 MB
+    numbers = pa.array(range(len(texts)), pa.int64())
+    batch = pa.record_batch([numbers, numbers, pa.array(texts)], names=["doc_id", "th", "text"])
+    tracemalloc.start()
+    found = sum(b.num_rows for b in m._seeds(iter([batch]), 35, 12))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found > 4000
+    assert peak < 16 << 20, peak
