@@ -4,9 +4,11 @@ A line is the set of its words.  A line goes if a line before it (by doc_id, the
 Jaccard similarity of ``threshold`` or more with it.  All of it is DataFrame operations on built-in
 functions.
 
-*Rarity.*  Word counts over all lines are kept per bucket of word hashes: ``1 << RARITY_BITS`` bytes that
-hold the logarithm of the count, whatever the corpus size.  A word's key is (rarity, hash), so a sorted
-array of keys is the line in order of rarity.  Any order is exact; the table decides only how many lines meet.
+*Rarity.*  Word counts over all lines are kept per bucket of word hashes: a table of bytes that hold the logarithm
+of the count.  It has ``1 << RARITY_BITS`` buckets and twice as many for each doubling of the input beyond
+``RARITY_INPUT`` bytes, up to ``1 << MOST_BITS``, as in fuller buckets rare words can't be told from frequent ones.
+A word's key is (rarity, hash), so a sorted array of keys is the line in order of rarity.  Any order is exact;
+the table decides only how many lines meet.
 
 *Classes.*  Lines with equal sets collapse to one class with its first position before anything is
 joined; a line repeated in a third of all documents is one row from there on.
@@ -18,7 +20,7 @@ lines) differ in no more bits than the sets differ in words.  Of what meets, onl
 prefix words as the needed overlap leaves to the prefixes go on.  Of each later class the nearest candidate
 is verified on the words themselves first, and the others only where that one fails.
 
-*Hot words.*  Where a prefix word is frequent (``HOT_COUNT``, above the mean load of buckets), variants of one line would meet as all
+*Hot words.*  Where a prefix word is frequent (``HOT_COUNT``, above the median load of buckets), variants of one line would meet as all
 pairs.  Classes with such words are first compared with ``LEADERS`` early classes of the same size and word only, for
 each of their ``LEAD_WORDS`` rarest frequent words; those that match are decided, and take no part as the later side
 afterwards.  The rest meet on pairs of
@@ -37,7 +39,8 @@ columns are kept; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from math import log2
+from math import ceil, log2
+from statistics import median
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,13 +48,15 @@ from pyspark.sql import functions as F
 from chunkloom.llm._store import discard, keyed, materialize, release
 
 THRESHOLD = 0.8
-RARITY_BITS = 18
+RARITY_BITS = 20
+RARITY_INPUT = 1 << 28
+MOST_BITS = 23
 MARK_BITS = 20
 PAIR_WORDS = 64
 LONG_WORDS = 24
 LEAD_WORDS = 6
 LEADERS = 4
-HOT_COUNT = 256
+HOT_COUNT = 1700
 HOT_LOADS = 4
 WORD_GAP = r"[\x20\x09-\x0D]+"
 _CELL = 1024
@@ -71,12 +76,18 @@ def _bucket(hashed: Column, bits: int) -> Column:
     return F.shiftrightunsigned(hashed, 64 - bits).cast("int")
 
 
-def rarity_table(docs: DataFrame) -> bytes:
-    """For each bucket of word hashes, 1 + ``_STEPS`` * log2 of its number of words, 0 if none."""
+def _rarity_bits(docs: DataFrame) -> int:
+    """The bits of a bucket's number, by the size that the plan is thought to read; the least for plans of no known size."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return RARITY_BITS if size >> 50 else min(MOST_BITS, RARITY_BITS + max(0, ceil(log2(max(1, size) / RARITY_INPUT))))
+
+
+def rarity_table(docs: DataFrame, bits: int = RARITY_BITS) -> bytes:
+    """For each of ``1 << bits`` buckets of word hashes, 1 + ``_STEPS`` * log2 of its number of words, 0 if none."""
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line"))  # words of short arrays explode twice as fast as those of whole texts
-    counts = lines.select(F.explode(_words(F.col("line"))).alias("w")).groupBy(_bucket(F.xxhash64("w"), RARITY_BITS).alias("b")).count()
+    counts = lines.select(F.explode(_words(F.col("line"))).alias("w")).groupBy(_bucket(F.xxhash64("w"), bits).alias("b")).count()
     level = F.least(F.lit(126), 1 + F.floor(_STEPS * F.log2("count"))).cast("int")
-    return _collected(counts.select("b", level.alias("v")), RARITY_BITS)
+    return _collected(counts.select("b", level.alias("v")), bits)
 
 
 def _collected(cells: DataFrame, bits: int) -> bytes:
@@ -91,9 +102,12 @@ def _collected(cells: DataFrame, bits: int) -> bytes:
 
 
 def _hot_level(table: bytes) -> int:
-    """The rarity from which a bucket points to a frequent word: ``HOT_COUNT`` words beyond ``HOT_LOADS`` mean loads."""
-    mean = sum(2 ** ((v - 1) / _STEPS) for v in table if v) / len(table)
-    return 1 + int(_STEPS * log2(HOT_COUNT + HOT_LOADS * mean))
+    """The rarity from which a bucket points to a frequent word: ``HOT_COUNT`` words beyond ``HOT_LOADS`` median loads.
+
+    Few words make most of a text, so the mean load tells of the few buckets that hold them and not of the others.
+    """
+    middle = median(table)
+    return 1 + int(_STEPS * log2(HOT_COUNT + HOT_LOADS * (2 ** ((middle - 1) / _STEPS) if middle else 0)))
 
 
 def _lookup(table: bytes, index: Column) -> Column:
@@ -124,9 +138,10 @@ def _signed_lines(docs: DataFrame, table: bytes, level: int, threshold: float) -
     beyond the prefix included; ``at`` is the place of the first of ``hot``.
     """
     lines = docs.select("doc_id", "th", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    bits = len(table).bit_length() - 1
 
     def key(h: Column) -> Column:
-        return F.shiftleft(_lookup(table, _bucket(h, RARITY_BITS)).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
+        return F.shiftleft(_lookup(table, _bucket(h, bits)).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
     def bit(k: Column) -> Column:
         return F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
@@ -277,13 +292,15 @@ def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     if not 0.5 < threshold <= 1:
         raise ValueError("threshold must be above 0.5")
     spark = docs.sparkSession
-    table = rarity_table(docs)
+    table = rarity_table(docs, _rarity_bits(docs))
     lines = materialize(_signed_lines(docs, table, _hot_level(table), threshold), "lines")
     del table
     release(spark)
     firsts = [F.first(c).alias(c) for c in ("n", "cold", "hot", "at", "p", "q")]
     classes = lines.groupBy("s1", "s2").agg(F.min(F.struct(*_place())).alias("first"), F.count("*").alias("copies"), *firsts)
     classes = materialize(classes.select("s1", "s2", "first.d", "first.r", "copies", "n", "cold", "hot", "at", "p", "q"), "classes")
+    places = materialize(lines.select("doc_id", "th", "line_no", "s1", "s2"), "places")  # what the end needs of lines, so that the rest goes before the joins
+    discard(lines)
     release(spark)
     # half of the hash is enough to meet on: what else meets is not verified
     rows = classes.select("d", "r", "n", (_prefix(F.col("n"), threshold) - F.size("cold")).alias("h"), "p", "q", F.posexplode("cold").alias("i", "w"))
@@ -316,9 +333,9 @@ def later_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     firsts = classes.select("s1", "s2", "d", "r", "copies").join(late, ["d", "r"], "left").filter("late or copies > 1")
     firsts = materialize(firsts.select("s1", "s2", F.col("d").alias("fd"), F.col("r").alias("fr"), F.coalesce("late", F.lit(False)).alias("late")), "firsts")
     discard(classes, some_hot, hot, open_, more, late, texts)
-    flags = lines.select("doc_id", "th", "line_no", "s1", "s2").join(firsts, ["s1", "s2"]).filter(F.col("late") | _after(_place(), (F.col("fd"), F.col("fr"))))
+    flags = places.join(firsts, ["s1", "s2"]).filter(F.col("late") | _after(_place(), (F.col("fd"), F.col("fr"))))
     out = materialize(flags.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("line_no")).alias("gone")), "gone")
-    discard(lines, firsts)
+    discard(places, firsts)
     release(spark)
     return out
 

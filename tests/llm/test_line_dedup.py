@@ -52,3 +52,20 @@ def test_columns_stay_and_empty_table(docs):
     assert out.columns == [*df.columns, "n_lines", "n_removed", "kept_text"]
     assert sorted((r.doc_id, r.kept_text, r.th) for r in out.collect()) == [(1, "a b", "x"), (2, "", "x")]
     assert m.line_dedup(docs([])).collect() == []
+
+
+def test_few_heavy_buckets_do_not_raise_the_level_of_frequent_words():
+    rare, heavy = 1 + 3 * 4, 1 + 3 * 16
+    assert m._hot_level(bytes([rare] * 1000 + [heavy] * 24)) == m._hot_level(bytes([rare] * 1024))
+
+
+def test_rarity_table_grows_with_the_input(docs, monkeypatch):
+    rows = [(i, " ".join(f"w{(i * j) % 31}" for j in range(9))) for i in range(30)]
+    assert m._rarity_bits(docs(rows)) == m.RARITY_BITS  # of no known size
+    df = m.materialize(docs(rows), "rows")
+    assert m._rarity_bits(m.keyed(df)) == m.RARITY_BITS
+    monkeypatch.setattr(m, "RARITY_BITS", 6)
+    monkeypatch.setattr(m, "RARITY_INPUT", 1)
+    monkeypatch.setattr(m, "MOST_BITS", 11)
+    assert m._rarity_bits(m.keyed(df)) > 6
+    assert sorted(((r.doc_id, r.n_lines, r.n_removed, r.kept_text) for r in m.line_dedup(df).collect()), key=str) == brute(rows)
